@@ -67,6 +67,17 @@ def _mirrored(position: Column, extent: int, radius: int) -> Column:
     return F.filter(F.array(*images), lambda p: (p >= -radius) & (p < extent + radius))
 
 
+def mirror_pad(df: DataFrame, grid: Grid, radius: int) -> DataFrame:
+    """The raster with a border of ``radius`` mirrored pixels on every side."""
+    values = [c for c in df.columns if c not in ("row", "col")]
+    rows = df.select(
+        F.explode(_mirrored(F.col("row"), grid.height, radius)).alias("row"), "col", *values
+    )
+    return rows.select(
+        "row", F.explode(_mirrored(F.col("col"), grid.width, radius)).alias("col"), *values
+    )
+
+
 def _reached_tiles(position: Column, grid: Grid, tiles: int, radius: int) -> Column:
     return F.sequence(
         F.greatest(F.lit(0), grid.tile_of(position - radius)),
@@ -90,30 +101,12 @@ def halo(df: DataFrame, grid: Grid, radius: int) -> DataFrame:
     ``row`` and ``col`` become positions that may lie outside the grid (mirror images).  Nearly every
     pixel yields one row; the copies add about ``4 * radius / tile`` to the volume.
     """
-    values = [c for c in df.columns if c not in ("row", "col", "tile_row", "tile_col")]
-    rows = df.select(
-        F.explode(_mirrored(F.col("row"), grid.height, radius)).alias("row"), "col", *values
-    )
-    rows = rows.select(
-        F.explode(_reached_tiles(F.col("row"), grid, grid.tile_rows, radius)).alias("tile_row"),
-        "row",
-        "col",
-        *values,
-    )
-    cols = rows.select(
-        "tile_row",
-        "row",
-        F.explode(_mirrored(F.col("col"), grid.width, radius)).alias("col"),
-        *values,
-    )
-    cols = cols.select(
-        "tile_row",
-        F.explode(_reached_tiles(F.col("col"), grid, grid.tile_cols, radius)).alias("tile_col"),
-        "row",
-        "col",
-        *values,
-    )
-    return by_tile(cols, grid)
+    pixels = mirror_pad(df.drop("tile_row", "tile_col"), grid, radius)
+    rows_of = _reached_tiles(F.col("row"), grid, grid.tile_rows, radius)
+    cols_of = _reached_tiles(F.col("col"), grid, grid.tile_cols, radius)
+    copies = pixels.select(F.explode(rows_of).alias("tile_row"), "*")
+    copies = copies.select(F.explode(cols_of).alias("tile_col"), "*")
+    return by_tile(copies, grid)
 
 
 def in_tile(axis: str, grid: Grid) -> Column:

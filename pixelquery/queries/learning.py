@@ -1,2 +1,261 @@
+"""Training, evaluation and scoring (WIN7, ML1-8, AGG22, SRT2, SRT4)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pixelquery import fixtures
+from pixelquery.operators import classify, metrics, ml, stats
+from pixelquery.queries import spectral
+from pixelquery.queries.classes import _DIM, _PER_CLASS
+from pixelquery.queries.common import INDEX_CTE, r, rounded, with_grid
+from pixelquery.schema import BAND_NAMES, SPECTRAL_BANDS
+from pixelquery.session import cut_lineage
+
 QUERIES = {}
 ORACLES = {}
+
+FEATURES = BAND_NAMES[:19]
+_LOWER = [b.lower() for b in SPECTRAL_BANDS]
+# ensembles sized for a quick check; the defaults of the operators are the full-size ones
+TREES, DEPTH, ROUNDS, ROUND_DEPTH = 10, 12, 3, 4
+
+
+def _labelled(spark, sf_dir):
+    return fixtures.pixels(spark, sf_dir).withColumn(ml.LABEL, F.col("y_true").cast("double"))
+
+
+_SPLIT = (
+    "ranked AS (SELECT *, row_number() OVER (PARTITION BY y_true ORDER BY "
+    "md5(r || ',' || c || ',42')) AS i, count(*) OVER (PARTITION BY y_true) AS n_c FROM idx), "
+    "cut AS (SELECT *, floor(n_c * 0.7 + 0.5) AS n_train FROM ranked), "
+    "split AS (SELECT *, CASE WHEN i <= n_train THEN 'train' "
+    "WHEN i <= n_train + floor((n_c - n_train) / 2.0) THEN 'validation' ELSE 'test' END AS part "
+    "FROM cut)"
+)
+
+
+def _split(spark, sf_dir):
+    return ml.stratified_split(_labelled(spark, sf_dir)).select("row", "col", "y_true", "split")
+
+
+QUERIES["win7_stratified_split"] = _split
+ORACLES["win7_stratified_split"] = with_grid(
+    "SELECT r AS row, c AS col, y_true, part AS split FROM split", INDEX_CTE, _SPLIT
+)
+
+
+def _encoded(spark, sf_dir):
+    named = classify.with_class_names(fixtures.pixels(spark, sf_dir), "y_true")
+    return ml.encode_labels(named, "class_name").select("row", "col", "class_name", ml.LABEL)
+
+
+QUERIES["ml1_encode_labels"] = _encoded
+ORACLES["ml1_encode_labels"] = with_grid(
+    "SELECT r AS row, c AS col, g.class_name, CAST(code AS DOUBLE) AS label FROM "
+    "(SELECT r, c, class_name FROM grid JOIN dim ON y_true = class_id) g JOIN "
+    "(SELECT class_name, row_number() OVER (ORDER BY class_name) - 1 AS code FROM "
+    "(SELECT DISTINCT class_name FROM grid JOIN dim ON y_true = class_id)) e "
+    "ON g.class_name = e.class_name",
+    _DIM,
+)
+
+
+def _standardised(spark, sf_dir):
+    px = spectral.reflectances(spark, sf_dir).select("row", "col", "y_true", *SPECTRAL_BANDS)
+    parts = ml.stratified_split(px, "y_true")
+    scaler = ml.fit_scaler(parts.where("split = 'train'"), SPECTRAL_BANDS)
+    columns = [f"z_{b}" for b in SPECTRAL_BANDS]
+    return rounded(scaler.transform(parts).select("row", "col", *columns), *columns)
+
+
+QUERIES["ml2_standardise"] = _standardised
+ORACLES["ml2_standardise"] = with_grid(
+    "SELECT r AS row, c AS col, "
+    + ", ".join(f"{r(f'({b} - m_{b}) / s_{b}')} AS z_{b.upper()}" for b in _LOWER)
+    + " FROM split, fitted",
+    INDEX_CTE,
+    _SPLIT,
+    "fitted AS (SELECT "
+    + ", ".join(f"avg({b}) AS m_{b}, stddev_pop({b}) AS s_{b}" for b in _LOWER)
+    + " FROM split WHERE part = 'train')",
+)
+
+
+def _weights(spark, sf_dir):
+    px = fixtures.pixels(spark, sf_dir).select("row", "col", "y_true")
+    return rounded(stats.balanced_weights(px, "y_true"), "weight")
+
+
+QUERIES["agg22_balanced_weights"] = _weights
+ORACLES["agg22_balanced_weights"] = with_grid(
+    f"SELECT r AS row, c AS col, y_true, {r('n / (k_ * n_c)')} AS weight FROM "
+    "(SELECT r, c, y_true, CAST(count(*) OVER () AS DOUBLE) AS n, "
+    "count(*) OVER (PARTITION BY y_true) AS n_c FROM grid), "
+    "(SELECT count(DISTINCT y_true) AS k_ FROM grid)"
+)
+
+
+# models ---------------------------------------------------------------------------------------
+def _learning_rows(spark, sf_dir):
+    """Valid pixels with label and split, written once because every boosting round reads them."""
+    px = spectral.indices(spark, sf_dir).dropna("any", subset=FEATURES)
+    px = px.withColumn(ml.LABEL, F.col("y_true").cast("double"))
+    parts = ml.stratified_split(px.select("row", "col", ml.LABEL, *FEATURES))
+    return cut_lineage(parts, "training")
+
+
+def _forest(rows):
+    return ml.fit(rows.where("split = 'train'"), ml.random_forest(TREES, DEPTH), FEATURES)
+
+
+def _boosting(rows):
+    estimator = ml.gradient_boosting(ROUNDS, ROUND_DEPTH)
+    return ml.fit(rows.where("split = 'train'"), estimator, FEATURES)
+
+
+def _test_predictions(build):
+    def query(spark, sf_dir):
+        rows = _learning_rows(spark, sf_dir)
+        scored = build(rows).transform(rows.where("split = 'test'"))
+        return scored.select("row", "col", ml.LABEL, "prediction")
+
+    return query
+
+
+QUERIES["ml3_random_forest"] = _test_predictions(_forest)
+QUERIES["ml4_gradient_boosting"] = _test_predictions(_boosting)
+
+
+def _both(rows):
+    return {ml.RANDOM_FOREST: _forest(rows), ml.GRADIENT_BOOSTING: _boosting(rows)}
+
+
+def _evaluated(spark, sf_dir):
+    rows = _learning_rows(spark, sf_dir)
+    models = _both(rows)
+    scores = None
+    for part in ("validation", "test"):
+        one = ml.evaluate(models, rows.where(F.col("split") == part))
+        one = one.select(F.lit(part).alias("split"), "*")
+        scores = one if scores is None else scores.unionByName(one)
+    return scores
+
+
+QUERIES["ml5_evaluate"] = _evaluated
+
+
+def _selected(spark, sf_dir):
+    rows = _learning_rows(spark, sf_dir)
+    scores = ml.evaluate(_both(rows), rows.where("split = 'validation'"))
+    return metrics.best_model(scores, [ml.RANDOM_FOREST, ml.GRADIENT_BOOSTING])
+
+
+QUERIES["ml6_model_selection"] = _selected
+
+
+def _scored(spark, sf_dir):
+    model = _forest(_learning_rows(spark, sf_dir))
+    return ml.score(model, spectral.indices(spark, sf_dir), FEATURES)
+
+
+QUERIES["ml7_score_scene"] = _scored
+
+
+def _importances(spark, sf_dir):
+    rows = _learning_rows(spark, sf_dir)
+    forest = ml.feature_importances(_forest(rows), FEATURES)
+    zeros = dict.fromkeys(FEATURES, 0.0)
+    return metrics.top_features(ml.importance_table(spark, forest, zeros))
+
+
+QUERIES["ml8_feature_importances"] = _importances
+
+
+def _masked_coverage(spark, sf_dir):
+    """Which pixels a model scores: exactly those with all bands valid."""
+    scored = _scored(spark, sf_dir)
+    return scored.select("row", "col", F.col("class_id").isNotNull().alias("scored"))
+
+
+QUERIES["flt2_scored_pixels"] = _masked_coverage
+ORACLES["flt2_scored_pixels"] = with_grid(
+    "SELECT r AS row, c AS col, "
+    + " AND ".join(
+        f"{c} IS NOT NULL" for c in [*_LOWER, *BAND_NAMES[6:18], "z"]
+    )
+    + " AS scored FROM idx",
+    INDEX_CTE,
+)
+
+
+# rankings over measures taken from the data ---------------------------------------------------
+_RANKED = [*FEATURES, "x", "y"]
+
+
+def _ranked_features(spark, sf_dir):
+    """Rank features by their correlation with the label and with the elevation."""
+    px = spectral.indices(spark, sf_dir).where("y_true IS NOT NULL")
+    pairs = F.array(
+        *[F.struct(F.lit(f).alias("feature"), F.col(f).alias("v")) for f in _RANKED]
+    )
+    long = px.select("y_true", F.col("B11").alias("b"), F.inline(pairs))
+    table = long.groupBy("feature").agg(
+        F.abs(F.corr("v", F.col("y_true").cast("double"))).alias("rf"),
+        F.abs(F.corr("v", "b")).alias("gb"),
+    )
+    return rounded(metrics.top_features(table), "rf", "gb", "mean_importance")
+
+
+QUERIES["srt2_top_features"] = _ranked_features
+ORACLES["srt2_top_features"] = with_grid(
+    f"SELECT feature, {r('rf')} AS rf, {r('gb')} AS gb, {r('(rf + gb) / 2')} AS mean_importance "
+    "FROM imp ORDER BY (rf + gb) / 2 DESC, feature LIMIT 20",
+    INDEX_CTE,
+    "imp AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, abs(corr({s}, y_true)) AS rf, abs(corr({s}, b11)) AS gb FROM idx"
+        for f, s in [(f, {"Elevation": "z"}.get(f, f)) for f in _RANKED]
+    )
+    + ")",
+)
+
+
+def _best(spark, sf_dir):
+    """Two class maps against the truth: the prediction, and the prediction without water."""
+    px = fixtures.pixels(spark, sf_dir)
+    dry = F.when(F.col("y_pred") == 5, 1).otherwise(F.col("y_pred"))
+    both = F.array(
+        F.struct(F.lit("Random Forest").alias("model"), F.col("y_pred").alias("p")),
+        F.struct(F.lit("Gradient Boosting").alias("model"), dry.alias("p")),
+    )
+    pairs = metrics.pair_counts(
+        px.select("y_true", F.inline(both)), "y_true", "p", ["model"]
+    )
+    best = metrics.best_model(
+        metrics.overall_scores(pairs, ["model"]), [ml.RANDOM_FOREST, ml.GRADIENT_BOOSTING]
+    )
+    return rounded(best, "f1_weighted")
+
+
+QUERIES["srt4_best_model"] = _best
+
+
+def _f1(name: str, prediction: str) -> str:
+    ctes = (
+        "pairs AS (SELECT y_true AS label, "
+        f"{prediction} AS prediction, count(*) AS n FROM grid WHERE y_pred IS NOT NULL "
+        f"GROUP BY 1, 2), {_PER_CLASS}"
+    )
+    return (
+        f"(WITH {ctes} SELECT '{name}' AS model, sum(f1 * support) / sum(support) AS f1 FROM rep)"
+    )
+
+
+ORACLES["srt4_best_model"] = with_grid(
+    f"SELECT model, {r('f1')} AS f1_weighted FROM ("
+    + _f1("Random Forest", "y_pred")
+    + " UNION ALL "
+    + _f1("Gradient Boosting", "CASE WHEN y_pred = 5 THEN 1 ELSE y_pred END")
+    + ") ORDER BY f1 DESC, model DESC LIMIT 1"
+)

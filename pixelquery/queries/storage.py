@@ -1,2 +1,212 @@
+"""Write-and-read-back of every sink and source (SRC8-10, SRC12, SNK1-9)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pixelquery import fixtures
+from pixelquery.operators import classify, ml, regions, spatial
+from pixelquery.plans import landcover
+from pixelquery.queries import classes, learning, spectral, training
+from pixelquery.queries.common import r, rounded, with_grid
+from pixelquery.queries.regions import ORACLES as REGION_ORACLES
+from pixelquery.schema import BAND_NAMES, SPECTRAL_BANDS
+from pixelquery.session import scratch_path
+from pixelquery.sources import raster, tables, vector
+
 QUERIES = {}
 ORACLES = {}
+
+_LAYERS = [*SPECTRAL_BANDS, "Elevation"]
+_LAYER_SQL = (
+    ", ".join(f"{r(b.lower())} AS {b}" for b in SPECTRAL_BANDS) + f", {r('z')} AS Elevation"
+)
+
+
+# rasters --------------------------------------------------------------------------------------
+def _stored(spark, sf_dir):
+    grid = fixtures.pixel_grid(spark, sf_dir)
+    path = scratch_path(spark, "raster")
+    raster.write_raster(
+        spectral.reflectances(spark, sf_dir).select("row", "col", *_LAYERS), grid, path
+    )
+    return path, grid
+
+
+def _stack_round_trip(spark, sf_dir):
+    path, grid = _stored(spark, sf_dir)
+    back = raster.read_raster(spark, path, _LAYERS, tile=grid.tile)
+    return rounded(back.select("row", "col", *_LAYERS), *_LAYERS)
+
+
+QUERIES["snk1_feature_raster"] = _stack_round_trip
+ORACLES["snk1_feature_raster"] = with_grid(f"SELECT r AS row, c AS col, {_LAYER_SQL} FROM grid")
+
+
+def _windowed(spark, sf_dir):
+    path, grid = _stored(spark, sf_dir)
+    window = (grid.height // 4, grid.height // 2, 10, 60)
+    back = raster.read_raster(spark, path, _LAYERS, window, grid.tile)
+    return rounded(back.select("row", "col", *_LAYERS), *_LAYERS)
+
+
+QUERIES["src8_window_scan"] = _windowed
+ORACLES["src8_window_scan"] = with_grid(
+    f"SELECT r AS row, c AS col, {_LAYER_SQL} FROM grid, size "
+    "WHERE r >= h // 4 AND r < h // 2 AND c >= 10 AND c < 60"
+)
+
+
+def _blocks(spark, sf_dir):
+    path, grid = _stored(spark, sf_dir)
+    back = raster.read_raster(spark, path, _LAYERS, tile=grid.tile)
+    return back.groupBy("tile_row").agg(
+        F.count("*").alias("pixels"), F.count("B02").alias("valid")
+    )
+
+
+QUERIES["src12_row_blocks"] = _blocks
+ORACLES["src12_row_blocks"] = with_grid(
+    "SELECT r // 64 AS tile_row, count(*) AS pixels, count(b02) AS valid FROM grid GROUP BY 1"
+)
+
+
+def _class_raster(spark, sf_dir):
+    path = scratch_path(spark, "classes")
+    raster.write_classes(
+        fixtures.classes(spark, sf_dir), fixtures.pixel_grid(spark, sf_dir), path
+    )
+    return path
+
+
+def _stored_classes(spark, sf_dir):
+    stored = spark.read.parquet(_class_raster(spark, sf_dir))
+    return stored.select("row", "col", "class_id")
+
+
+QUERIES["snk4_class_raster"] = _stored_classes
+ORACLES["snk4_class_raster"] = with_grid(
+    "SELECT r AS row, c AS col, coalesce(y_pred, 255) AS class_id FROM grid"
+)
+
+
+def _updated(spark, sf_dir):
+    grid = fixtures.pixel_grid(spark, sf_dir)
+    path = _class_raster(spark, sf_dir)
+    north = classify.north_by_row(grid.height // 2)
+    path = raster.update_classes(spark, path, grid, lambda p: classify.water_rule(p, north))
+    return raster.read_classes(spark, path).select("row", "col", "class_id")
+
+
+QUERIES["snk6_raster_update"] = _updated
+ORACLES["snk6_raster_update"] = classes.ORACLES["flt4_water_rule"]
+
+
+# vector layers --------------------------------------------------------------------------------
+def _geojson(spark, sf_dir):
+    path = scratch_path(spark, "polygons")
+    boxes = spatial.box_polygons(fixtures.areas(spark, sf_dir)).drop("area_id")
+    vector.write_geojson(boxes, path)
+    back = vector.read_geojson_lines(spark, path)
+    corners = back.select(
+        "class", "class_id", "desc", "width_m", "height_m", F.posexplode("ring").alias("i", "p")
+    )
+    flat = corners.select("*", F.col("p.x").alias("x"), F.col("p.y").alias("y")).drop("p")
+    return rounded(flat, "x", "y")
+
+
+_BOX_SQL = training.ORACLES["prj30_boxes"].replace(
+    "SELECT area_id, round_even",
+    "SELECT class_ AS class, cid AS class_id, desc_ AS desc, round_even",
+)
+for _key in ("snk2_geojson_polygons", "src9_geojson_scan"):
+    QUERIES[_key] = _geojson
+    ORACLES[_key] = _BOX_SQL
+
+
+def _region_layer(spark, sf_dir):
+    path = scratch_path(spark, "regions")
+    found = regions.connected_regions(
+        fixtures.classes(spark, sf_dir), fixtures.pixel_grid(spark, sf_dir)
+    )
+    regions.dissolve(found).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+QUERIES["snk7_region_layer"] = _region_layer
+ORACLES["snk7_region_layer"] = REGION_ORACLES["agg18_dissolve"]
+
+
+# tables ---------------------------------------------------------------------------------------
+def _training_csv(spark, sf_dir):
+    path = scratch_path(spark, "training-csv")
+    tables.write_training_csv(training.training_rows(spark, sf_dir), path)
+    return rounded(tables.read_training_csv(spark, path), *BAND_NAMES)
+
+
+for _key in ("snk3_training_csv", "src10_training_csv_scan"):
+    QUERIES[_key] = _training_csv
+    ORACLES[_key] = training.ORACLES["training_table"]
+
+
+def _area_csv(spark, sf_dir):
+    path = scratch_path(spark, "area-csv")
+    table = classify.area_table(
+        fixtures.classes(spark, sf_dir), fixtures.pixel_grid(spark, sf_dir)
+    )
+    tables.write_area_csv(table, path)
+    return rounded(tables.read_area_csv(spark, path), "area_km2", "pct")
+
+
+QUERIES["snk5_area_csv"] = _area_csv
+ORACLES["snk5_area_csv"] = classes.ORACLES["set2_area_table_with_total"]
+
+
+def _published(spark, sf_dir):
+    """Two datasets are published; the third fails on purpose and is reported, not fatal."""
+    root = scratch_path(spark, "published")
+
+    def broken():
+        raise ValueError("source is not available")
+
+    manifest = tables.publish(
+        spark,
+        {
+            "classes": lambda: fixtures.classes(spark, sf_dir),
+            "broken": broken,
+            "scenes": lambda: fixtures.scenes(spark, sf_dir).select("scene_id", "cloud"),
+        },
+        root,
+    )
+    sizes = None
+    for title in ("classes", "scenes"):
+        size = spark.read.parquet(f"{root}/{title}").agg(F.count("*").alias("rows"))
+        size = size.select(F.lit(title).alias("title"), "rows")
+        sizes = size if sizes is None else sizes.unionByName(size)
+    return manifest.select("title", "status").join(sizes, "title", "left")
+
+
+QUERIES["snk9_publish"] = _published
+ORACLES["snk9_publish"] = (
+    "SELECT 'classes' AS title, 'PUBLISHED' AS status, count(*) AS rows FROM orders "
+    "UNION ALL SELECT 'scenes', 'PUBLISHED', count(*) FROM events "
+    "UNION ALL SELECT 'broken', 'FAILED', NULL"
+)
+
+
+# models ---------------------------------------------------------------------------------------
+def _model_round_trip(spark, sf_dir):
+    """Scores of a saved and reloaded model next to those of the model itself."""
+    path = scratch_path(spark, "model")
+    rows = learning._learning_rows(spark, sf_dir)
+    model = learning._forest(rows)
+    landcover.save_model(model, path)
+    stack = spectral.indices(spark, sf_dir)
+    one = ml.score(model, stack, learning.FEATURES)
+    two = ml.score(landcover.load_model(path), stack, learning.FEATURES)
+    both = one.join(two.withColumnRenamed("class_id", "reloaded"), ["row", "col"])
+    return both.select("row", "col", F.col("class_id").eqNullSafe(F.col("reloaded")).alias("same"))
+
+
+QUERIES["snk8_model_round_trip"] = _model_round_trip
+ORACLES["snk8_model_round_trip"] = with_grid("SELECT r AS row, c AS col, true AS same FROM grid")

@@ -69,14 +69,21 @@ INDEX_CTE = (
 )
 
 
+def _nudge(digits: int) -> float:
+    """Engines round exact ties (x.5 of the last digit) differently; this moves them off the tie."""
+    return 3.0 / 10 ** (digits + 4)
+
+
 def r(expression: str, digits: int = 6) -> str:
     """SQL rounding that matches ``rounded``."""
-    return f"round(CAST({expression} AS DOUBLE), {digits}) + 0.0"
+    return f"round(CAST({expression} AS DOUBLE) + CAST({_nudge(digits)!r} AS DOUBLE), {digits}) + 0.0"
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     """Round for comparison; adding 0.0 turns -0.0 into 0.0."""
-    return df.withColumns({c: F.round(F.col(c), digits) + F.lit(0.0) for c in columns})
+    return df.withColumns(
+        {c: F.round(F.col(c) + F.lit(_nudge(digits)), digits) + F.lit(0.0) for c in columns}
+    )
 
 
 def with_grid(body: str, *ctes: str) -> str:

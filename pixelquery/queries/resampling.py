@@ -85,7 +85,7 @@ def _warped(spark, sf_dir):
     lonlat = Grid(_WEST, _NORTH, _DLON, grid.height, grid.width, epsg=4326, tile=grid.tile)
     target = fixtures.pixels(spark, sf_dir).select("row", "col", "x", "y")
     out = resample.warp_bilinear(source, lonlat, _DLON, _DLAT, target, ["Elevation"])
-    return rounded(out, "Elevation")
+    return rounded(out, "Elevation", digits=3)
 
 
 QUERIES["jon8_warp_to_utm"] = _warped
@@ -94,7 +94,7 @@ _WARP_JOINS, _WARP_MEANS = _corners(
 )
 _COVERED = "sy BETWEEN -0.5 AND h - 0.5 AND sx BETWEEN -0.5 AND w - 0.5"
 ORACLES["jon8_warp_to_utm"] = with_grid(
-    f"SELECT tr AS row, tc AS col, CASE WHEN {_COVERED} THEN {r(_WARP_MEANS['Elevation'])} END "
+    f"SELECT tr AS row, tc AS col, CASE WHEN {_COVERED} THEN {r(_WARP_MEANS['Elevation'], 3)} END "
     f"AS Elevation FROM put, size {_WARP_JOINS}",
     *geodesy_sql.inverse("grid", "x", "y", "ll"),
     f"put0 AS (SELECT r AS tr, c AS tc, ({_NORTH} - lat) / {_DLAT} - 0.5 AS sy, "

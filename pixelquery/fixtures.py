@@ -59,8 +59,12 @@ def _band_columns():
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``row, col, x, y, B02..B12 (DN), Elevation, y_true, y_pred``; NULL class is nodata."""
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("k"), "o_custkey", "o_orderpriority"
+    # spread the one-file table by the join key: the shuffle the join to the line totals needs anyway
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    orders = (
+        table(spark, sf_dir, "orders")
+        .select(F.col("o_orderkey").alias("k"), "o_custkey", "o_orderpriority")
+        .repartition(parts, "k")
     )
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_acctbal"

@@ -125,11 +125,14 @@ def dem_tiles(catalog: DataFrame, aoi: Sequence[float] = AOI_WGS84) -> DataFrame
 
 
 def complete_scenes(files: DataFrame, bands: Sequence[str] = tuple(SPECTRAL_BANDS)) -> DataFrame:
-    """Scenes of a ``scene_id, band`` listing that have all the spectral bands."""
+    """Scenes of a ``scene_id, band`` listing that have all the spectral bands.
+
+    One flag per band combines map-side; counting distinct bands would shuffle every listing row.
+    """
+    present = [F.max((F.col("band") == b).cast("bigint")) for b in bands]
     return (
-        files.where(F.col("band").isin(*bands))
-        .groupBy("scene_id")
-        .agg(F.count_distinct("band").alias("bands"))
+        files.groupBy("scene_id")
+        .agg(sum(present[1:], present[0]).alias("bands"))
         .where(F.col("bands") == len(bands))
     )
 

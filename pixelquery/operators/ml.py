@@ -153,8 +153,13 @@ def gradient_boosting(iterations: int = 200, depth: int = 6, seed: int = RANDOM_
 
 
 def fit(train: DataFrame, estimator, features: Sequence[str] = tuple(BAND_NAMES)) -> PipelineModel:
-    """Scale, weight the classes equally and fit; the result is one persistable model."""
-    weighted = balanced_weights(train, LABEL)
+    """Scale, weight the classes equally and fit; the result is one persistable model.
+
+    Tree growth passes over the rows once per level, so they are first spread evenly over all tasks;
+    a table read back from a few files would otherwise keep most of the cluster idle.
+    """
+    parts = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    weighted = balanced_weights(train.repartition(parts), LABEL)
     return Pipeline(stages=[*_front(train, features), estimator]).fit(weighted)
 
 

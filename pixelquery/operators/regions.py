@@ -133,38 +133,45 @@ def _tile_patches(pred: DataFrame, grid: Grid, column: str) -> DataFrame:
     return by_tile(cells, grid).groupBy("tile_row", "tile_col").applyInPandas(_tile_summary(grid), _TILE_SCHEMA)
 
 
+def _jump(links: DataFrame) -> DataFrame:
+    """Replace every parent by its own parent, marking the links that moved."""
+    up = links.select(F.col("node").alias("parent"), F.col("parent").alias("_up"))
+    return links.join(up, "parent", "left").select(
+        "node",
+        F.coalesce("_up", "parent").alias("parent"),
+        F.col("_up").isNotNull().alias("moved"),
+    )
+
+
 def _jump_to_roots(links: DataFrame) -> DataFrame:
     """Follow ``node -> parent`` links (parent < node) until every node points at its root.
 
-    A jump replaces the parent by the parent's parent, so the longest path halves every round.
+    The longest path halves every round.
     """
-    links = cut_lineage(links.withColumn("moved", F.lit(True)), "links")
+    links = cut_lineage(_jump(links), "links")
     while not links.where("moved").isEmpty():
-        up = links.select(F.col("node").alias("parent"), F.col("parent").alias("_up"))
-        links = cut_lineage(
-            links.join(up, "parent", "left").select(
-                "node",
-                F.coalesce("_up", "parent").alias("parent"),
-                F.col("_up").isNotNull().alias("moved"),
-            ),
-            "links",
-        )
+        links = cut_lineage(_jump(links), "links")
     return links.drop("moved")
 
 
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Each remaining edge once, smaller end first, without loops."""
+    return (
+        edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .where("a < b")
+        .distinct()
+    )
+
+
 def connected_roots(edges: DataFrame) -> DataFrame:
     """Smallest node of each connected component of an undirected graph ``a, b``.
 
-    Each round hooks every node to its smallest neighbour below it, flattens the resulting forest and
-    contracts the graph.  The aggregate combines map-side and every join has one row per node on one
-    side, so a hub with a third of all edges is split by the adaptive skew join.
+    ``edges`` should be a stored table: it is read more than once.  Each round hooks every node to
+    its smallest neighbour below it, flattens the resulting forest and contracts the graph.  The
+    aggregate combines map-side and every join has one row per node on one side, so a hub with a
+    third of all edges is split by the adaptive skew join.
     """
-    edges = cut_lineage(
-        edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .where("a < b")
-        .distinct(),
-        "edges",
-    )
+    edges = _contracted(edges)
     roots = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     roots = roots.withColumn("root", F.col("node"))
     while not edges.isEmpty():
@@ -180,12 +187,7 @@ def connected_roots(edges: DataFrame) -> DataFrame:
             moved = hooks.select(F.col("node").alias(end), F.col("parent").alias("_up"))
             edges = edges.join(moved, end, "left").withColumn(end, F.coalesce("_up", end))
             edges = edges.drop("_up")
-        edges = cut_lineage(
-            edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .where("a < b")
-            .distinct(),
-            "edges",
-        )
+        edges = cut_lineage(_contracted(edges), "edges")
     return roots
 
 
@@ -202,15 +204,16 @@ def connected_regions(pred: DataFrame, grid: Grid, column: str = "class_id") ->
         .groupBy("side", "at_row", "at_col", "class_id")
         .agg(F.min("patch").alias("a"), F.max("patch").alias("b"), F.count("*").alias("n"))
         .where("n = 2")
-        .select("a", "b")
+        .groupBy("a", "b")
+        .agg(F.count("*").alias("sides"))
     )
     borders = cut_lineage(borders, "borders")
     roots = connected_roots(borders)
     # both sides of a matched border pair were counted as boundary inside their tiles
     inner = (
-        borders.select(F.explode(F.array("a", "b")).alias("patch"))
+        borders.select(F.explode(F.array("a", "b")).alias("patch"), "sides")
         .groupBy("patch")
-        .agg(F.count("*").alias("_inner"))
+        .agg(F.sum("sides").alias("_inner"))
     )
     mapped = (
         totals.drop("side", "at_row", "at_col")

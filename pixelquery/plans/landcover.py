@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pixelquery.grid import Grid
 from pixelquery.operators import classify, features, metrics, ml, spatial
 from pixelquery.schema import BAND_NAMES, training_areas
+from pixelquery.session import cut_lineage
 from pixelquery.sources import raster
 
 
@@ -23,7 +24,8 @@ def training_set(stack: DataFrame, grid: Grid, areas: DataFrame | None = None) -
     areas = training_areas(stack.sparkSession) if areas is None else areas
     polygons = spatial.project_polygons(spatial.box_polygons(areas))
     rows = spatial.training_table(stack, polygons, grid, keep=("row", "col"))
-    return ml.stratified_split(ml.encode_labels(rows))
+    # encoding and splitting read the rows several times; the spatial join should run once
+    return ml.stratified_split(ml.encode_labels(cut_lineage(rows, "labelled")))
 
 
 def train(

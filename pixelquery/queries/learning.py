@@ -98,11 +98,11 @@ ORACLES["agg22_balanced_weights"] = with_grid(
 
 # models ---------------------------------------------------------------------------------------
 def _learning_rows(spark, sf_dir):
-    """Valid pixels with label and split, written once because every boosting round reads them."""
+    """Valid pixels with label and split, stored first because the split reads them three times."""
     px = spectral.indices(spark, sf_dir).dropna("any", subset=FEATURES)
     px = px.withColumn(ml.LABEL, F.col("y_true").cast("double"))
-    parts = ml.stratified_split(px.select("row", "col", ml.LABEL, *FEATURES))
-    return cut_lineage(parts, "training")
+    stored = cut_lineage(px.select("row", "col", ml.LABEL, *FEATURES), "labelled")
+    return cut_lineage(ml.stratified_split(stored), "training")
 
 
 def _forest(rows):

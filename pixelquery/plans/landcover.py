@@ -15,7 +15,7 @@ from pixelquery.sources import raster
 
 def build_features(pixels: DataFrame, grid: Grid, path: str) -> DataFrame:
     """Compute the 29 bands once and store them by tile; later jobs read the stored stack."""
-    raster.write_raster(features.feature_stack(pixels, grid), grid, path)
+    raster.write_raster(features.feature_stack(pixels, grid), grid, path, clustered=True)
     return raster.read_raster(pixels.sparkSession, path, BAND_NAMES)
 
 

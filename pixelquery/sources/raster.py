@@ -9,20 +9,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pixelquery.grid import Grid
+from pixelquery.operators.focal import by_tile
 from pixelquery.schema import NODATA_CLASS
 
 
-def write_raster(df: DataFrame, grid: Grid, path: str) -> None:
+def write_raster(df: DataFrame, grid: Grid, path: str, clustered: bool = False) -> None:
     """Compressed, one directory per tile row, pixels of a tile next to each other.
 
     Rows are shuffled by tile so that a file holds whole tiles and row-group statistics on
-    ``tile_col`` prune; a tile row is spread over many tasks, not written by one.
+    ``tile_col`` prune; a tile row is spread over many tasks, not written by one.  Say ``clustered``
+    if the rows of a tile already share a task, as after the focal operators, to save that shuffle.
     """
     if "tile_row" not in df.columns:
         df = grid.with_tiles(df)
+    if not clustered:
+        df = by_tile(df, grid)
     (
-        df.repartition("tile_row", "tile_col")
-        .sortWithinPartitions("tile_row", "tile_col", "row", "col")
+        df.sortWithinPartitions("tile_row", "tile_col", "row", "col")
         .write.option("compression", "zstd")
         .partitionBy("tile_row")
         .parquet(path)

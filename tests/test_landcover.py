@@ -18,6 +18,11 @@ def scene(spark, tmp_path_factory):
     return grid, landcover.build_features(fixtures.pixels(spark, SF), grid, path)
 
 
+def test_stored_stack_is_whole(spark, scene):
+    grid, stack = scene
+    assert stack.count() == stack.select("row", "col").distinct().count() == grid.height * grid.width
+
+
 def test_train_and_classify(spark, scene, tmp_path):
     grid, stack = scene
     areas = fixtures.areas(spark, SF).drop("area_id")

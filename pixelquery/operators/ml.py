@@ -78,7 +78,7 @@ def stratified_split(
     in_prefix = Window.partitionBy(label, "_p", "cut").orderBy("_h")
     last_rows = (
         hashed.select(label, "_h", "_p")
-        .join(wanted, [label, "_p"])
+        .join(F.broadcast(wanted), [label, "_p"])  # two rows per class
         .withColumn("_i", F.row_number().over(in_prefix))
         .where("_i = _k")
         .groupBy(label)
@@ -93,7 +93,7 @@ def stratified_split(
         .otherwise("test")
     )
     return (
-        hashed.join(last_rows, label, "left")
+        hashed.join(F.broadcast(last_rows), label, "left")  # one row per class
         .withColumn("split", split)
         .drop("_h", "_p", "_train", "_valid")
     )

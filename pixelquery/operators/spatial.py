@@ -148,21 +148,20 @@ def ring_area(ring: Column) -> Column:
     return F.abs(twice) / 2.0
 
 
+# upper bound of a polygon table that is sent to every executor
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
 def bucket_size(grid: Grid) -> int:
     """Side of the join buckets in pixels: about an eighth of a tile, dividing it evenly."""
     return next(b for b in range(max(1, grid.tile // 8), 0, -1) if grid.tile % b == 0)
 
 
-def polygon_buckets(polygons: DataFrame, grid: Grid) -> DataFrame:
-    """Projected polygons, once per pixel bucket they may touch, with their pixel range.
-
-    The range holds exactly the pixels whose centre lies in the bounding box.
-    """
-    size = bucket_size(grid)
-    per_tile = grid.tile // size
+def _pixel_ranges(polygons: DataFrame, grid: Grid) -> DataFrame:
+    """Pixel rows and columns whose centre lies in the bounding box, and the ring edges."""
     e = _ring_extent(F.col("ring"))
     top, left, res = float(grid.y0), float(grid.x0), float(grid.res)
-    ranged = polygons.withColumns(
+    return polygons.withColumns(
         {
             "_r0": F.greatest(F.lit(0), F.ceil((F.lit(top) - e["_ymax"]) / res - 0.5).cast("int")),
             "_r1": F.least(
@@ -175,15 +174,31 @@ def polygon_buckets(polygons: DataFrame, grid: Grid) -> DataFrame:
             "_edges": _edges(F.col("ring")),
         }
     ).where("_r0 <= _r1 AND _c0 <= _c1")
+
+
+def polygon_buckets(polygons: DataFrame, grid: Grid) -> DataFrame:
+    """Projected polygons, once per pixel bucket they may touch, with their pixel range.
+
+    The table is marked for broadcast if its measured size is small, and for a merge join otherwise;
+    the optimizer's own estimate does not see how many buckets a polygon covers.
+    """
+    size = bucket_size(grid)
+    per_tile = grid.tile // size
+    ranged = _pixel_ranges(polygons, grid)
     bucketed = ranged.withColumn("_br", _bucket_range("_r0", "_r1", size)).withColumn(
         "_bc", _bucket_range("_c0", "_c1", size)
     )
-    return bucketed.withColumns(
+    bucketed = bucketed.withColumns(
         {
             "tile_row": F.floor(F.col("_br") / per_tile).cast("int"),
             "tile_col": F.floor(F.col("_bc") / per_tile).cast("int"),
         }
     )
+    rows = (F.col("_r1") - F.col("_r0")) / size + 2
+    cols = (F.col("_c1") - F.col("_c0")) / size + 2
+    weight = rows * cols * (F.size("_edges") * 48 + 256)
+    measured = ranged.agg(F.sum(weight)).first()[0] or 0
+    return bucketed.hint("broadcast" if measured <= BROADCAST_BYTES else "merge")
 
 
 def _bucket_range(first: str, last: str, size: int) -> Column:
@@ -197,9 +212,9 @@ def label_pixels(pixels: DataFrame, polygons: DataFrame, grid: Grid) -> DataFram
 
     Polygons are bucketed by small squares of pixels, which turns the range condition into an
     equi-join with a cheap range test and a ring test on the few candidates.  The tile is part of
-    the key, so a raster stored by tile row is pruned to the tiles that carry polygons.  Spark
-    broadcasts the polygon side only if it is known to be small; otherwise both sides are shuffled
-    by bucket, and a bucket with very many polygons is split by the adaptive skew join.
+    the key, so a raster stored by tile row is pruned to the tiles that carry polygons.  The polygon
+    side is broadcast only if its measured size is small; otherwise both sides are shuffled by
+    bucket, and a bucket with very many polygons is split by the adaptive skew join.
     """
     size = bucket_size(grid)
     if "tile_row" not in pixels.columns:

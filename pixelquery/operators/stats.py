@@ -202,7 +202,8 @@ def prediction_coverage(pred: DataFrame, column: str = "class_id") -> DataFrame:
 def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     """Add ``weight = n / (k * n_c)`` so that every class counts the same in training.
 
-    Counting first and joining the k class rows back avoids a window over a whole class.
+    Counting first and joining the k class rows back avoids a window over a whole class; the join
+    is a broadcast of one row per class, because a shuffle by label would send a class to one task.
     """
     counts = df.groupBy(label).agg(F.count("*").alias("_n_c"))
     whole = Window.partitionBy()
@@ -213,7 +214,7 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
             / (F.count("*").over(whole) * F.col("_n_c"))
         ).alias("weight"),
     )
-    return df.join(weights, label)
+    return df.join(F.broadcast(weights), label)
 
 
 def distinct_classes(df: DataFrame, label: str = "class") -> DataFrame:

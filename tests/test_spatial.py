@@ -68,16 +68,14 @@ def rings():
     return out
 
 
-@pytest.mark.parametrize("threshold", ["10MB", "-1"])
-def test_pixels_in_polygons_brute_force(spark, rings, threshold):
+@pytest.mark.parametrize("limit,join", [(1 << 25, "BroadcastHashJoin"), (0, "SortMergeJoin")])
+def test_pixels_in_polygons_brute_force(spark, rings, limit, join, monkeypatch):
     grid = Grid(0, 0, 10, 30, 31, tile=16)
     polygons = polygon_frame(spark, rings)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    try:
-        hits = spatial.label_pixels(grid.cells(spark), polygons, grid)
-        got = sorted((r.desc, r.row, r.col) for r in hits.collect())
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(spatial, "BROADCAST_BYTES", limit)
+    hits = spatial.label_pixels(grid.cells(spark), polygons, grid)
+    assert join in hits._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.desc, r.row, r.col) for r in hits.collect())
     expected = sorted(
         (f"p{i}", r, c)
         for i, ring in enumerate(rings)

@@ -129,3 +129,23 @@ def test_tiles_cover_the_grid(height, width):
     grid = Grid(0, 0, 10, height, width)
     assert (grid.tile_rows - 1) * 256 < height <= grid.tile_rows * 256
     assert (grid.tile_cols - 1) * 256 < width <= grid.tile_cols * 256
+
+
+def test_projected_layer_returns_to_lonlat(spark):
+    boxes = spatial.box_polygons(training_areas(spark))
+    back = spatial.unproject_polygons(spatial.project_polygons(boxes))
+    both = boxes.select("desc", F.col("ring").alias("a")).join(
+        back.select("desc", F.col("ring").alias("b")), "desc"
+    )
+    shift = F.array_max(F.zip_with("a", "b", lambda p, q: F.abs(p["x"] - q["x"])))
+    assert both.agg(F.max(shift)).first()[0] < 1e-8
+
+
+def test_boundary_lines_as_geojson(spark):
+    arcs = spark.createDataFrame(
+        [(3, [{"x": 1.0, "y": 2.0}, {"x": 3.0, "y": 4.0}])],
+        "class_id INT, points ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>",
+    )
+    feature = json.loads(vector.lines_to_geojson(arcs).first().value)
+    assert feature["properties"] == {"class_id": 3}
+    assert feature["geometry"] == {"type": "LineString", "coordinates": [[1.0, 2.0], [3.0, 4.0]]}

@@ -13,12 +13,13 @@ _local_root: str | None = None
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
-    Only a session that names no folder (tests, a laptop) gets a local one.
+    Only a single-process session that names no folder (a laptop) gets a local one; a cluster must
+    name one, ``local-cluster`` included.
     """
     global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.split("[")[0] == "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         _local_root = _local_root or tempfile.mkdtemp(prefix="pixelquery-")
         root = _local_root

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelquery.llm import exact_dedup, mixing, url_filter
+from pixelquery.llm import exact_dedup, mixing, packing, rollup, url_filter
+from pixelquery.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,14 @@ URL_RULES = [
 ]
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), capacity=2048)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.maintain(table(spark, sf_dir, "documents"), scratch_path(spark, "rollup"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("uid")
 
@@ -106,8 +115,10 @@ SELECT page_id, host, path, best['r'] AS rule, coalesce(best['v'], 'allow') AS v
 """
 
 QUERIES = {
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mixing": op7_mixing,
+    "op8_token_counts": op8_token_counts,
     "op10_url_filter": op10_url_filter,
 }
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelquery.llm import exact_dedup, mixing, packing, rollup, url_filter
+from pixelquery.llm import divergence, exact_dedup, mixing, packing, quality, rollup, url_filter
 from pixelquery.session import scratch_path
 
 
@@ -23,6 +23,21 @@ URL_RULES = [
 ]
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        quality.is_held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op5_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.rules(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), capacity=2048)
 
@@ -115,7 +130,9 @@ SELECT page_id, host, path, best['r'] AS rule, coalesce(best['v'], 'allow') AS v
 """
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_divergence_rules": op5_divergence_rules,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mixing": op7_mixing,
     "op8_token_counts": op8_token_counts,

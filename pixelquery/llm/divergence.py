@@ -21,18 +21,19 @@ def bound(df: DataFrame, **columns: Column) -> DataFrame:
     Higher-order functions evaluate an expression anew at each use; a generator of one row keeps the
     optimizer from merging the steps.
     """
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
-
-
-def without(text: Column, pattern: str) -> Column:
-    return F.length(F.regexp_replace(text, pattern, ""))
+    made = df.select("*", *[c.alias(f"_{n}") for n, c in columns.items()])
+    values = F.struct(*[F.col(f"_{n}").alias(n) for n in columns])
+    return made.select(*df.columns, F.inline(F.array(values)))
 
 
 def class_counts(text: Column) -> Column:
-    """Code points of a text by class, the rest last."""
-    held = F.array(*[(F.length(text) - without(text, c)).cast("double") for c in CLASSES])
-    rest = F.length(text) - F.aggregate(held, F.lit(0.0), lambda a, b: a + b)
-    return F.concat(held, F.array(rest))
+    """Code points of a text by class, the rest last; each class is counted as it is taken away."""
+    left, counts = text, []
+    for pattern in CLASSES:
+        rest = F.regexp_replace(left, pattern + "+", "")
+        counts.append((F.length(left) - F.length(rest)).cast("double"))
+        left = rest
+    return F.array(*counts, F.length(left).cast("double"))
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
@@ -48,7 +49,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
         "*",
         n.cast("long").alias("n_words"),
         F.length(F.array_join(listed, "")).cast("long").alias("word_chars"),
-        (F.length(body) - without(body, SYMBOLS)).cast("long").alias("n_symbols"),
+        (F.length(body) - F.length(F.regexp_replace(body, SYMBOLS, ""))).cast("long").alias("n_symbols"),
     )
     df = bound(df, lines=lines, hashes=F.transform(listed, lambda w: F.xxhash64(w)))
     df = df.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
@@ -146,11 +147,11 @@ def rules(
         "base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     )
     rows = rows.join(known, "language", "left")
-    long_ = (F.length("body") >= least_chars) & F.col("common").isNotNull() & ~F.col("base_failed")
+    long_ = (F.col("n") >= least_chars) & F.col("common").isNotNull() & ~F.col("base_failed")
     worded = (F.col("n_words") >= least_words) & F.col("common").isNotNull() & ~F.col("base_failed")
     rows = bound(
         rows,
-        classes=F.when(long_, class_counts(F.col("body"))),
+        classes=class_counts(F.col("body")),
         hits=F.when(worded, F.filter("words", lambda w: F.array_contains(F.col("common"), w))),
         n=F.length("body"),
     ).drop("body", "words")
@@ -158,7 +159,7 @@ def rules(
     other = F.array((F.col("n_words") - F.size("hits")) / F.col("n_words"))
     rows = bound(
         rows,
-        p_classes=F.when(F.col("classes").isNotNull(), F.transform("classes", lambda c: c / F.col("n"))),
+        p_classes=F.when(long_, F.transform("classes", lambda c: c / F.col("n"))),
         p_words=F.when(F.col("hits").isNotNull(), F.concat(counted, other)),
     )
     rows = bound(

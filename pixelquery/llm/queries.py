@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelquery.llm import divergence, exact_dedup, mixing, packing, quality, rollup, url_filter
+from pixelquery.llm import (
+    divergence,
+    exact_dedup,
+    lattice,
+    mixing,
+    packing,
+    quality,
+    rollup,
+    substring,
+    url_filter,
+)
 from pixelquery.session import scratch_path
 
 
@@ -34,6 +44,16 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+    digest = F.sha2(F.col("kept_text").cast("binary"), 256)
+    return kept.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
+def op9_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(table(spark, sf_dir, "documents"), folds=10)
+
+
 def op5_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.rules(table(spark, sf_dir, "documents"))
 
@@ -131,11 +151,13 @@ SELECT page_id, host, path, best['r'] AS rule, coalesce(best['v'], 'allow') AS v
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_divergence_rules": op5_divergence_rules,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mixing": op7_mixing,
     "op8_token_counts": op8_token_counts,
+    "op9_lattice_score": op9_lattice_score,
     "op10_url_filter": op10_url_filter,
 }
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pixelquery.llm import (
     divergence,
     exact_dedup,
+    jaccard,
     lattice,
     mixing,
     packing,
@@ -54,6 +55,10 @@ def op9_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score(table(spark, sf_dir, "documents"), folds=10)
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("uid")
+
+
 def op5_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.rules(table(spark, sf_dir, "documents"))
 
@@ -153,6 +158,7 @@ QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_divergence_rules": op5_divergence_rules,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mixing": op7_mixing,

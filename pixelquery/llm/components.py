@@ -2,11 +2,41 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pixelquery.session import cut_lineage
 
+#: Edges that one task contracts at first.
+SHARE = 100_000
+
+
+def _forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges of one task as stars: every node to the smallest that the task's edges join it to."""
+    parts = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches if b.num_rows]
+    if not parts:
+        return
+    a, b = (np.concatenate(x) for x in zip(*parts))
+    nodes, number = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = number[: len(a)], number[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        least = label.copy()
+        low = np.minimum(label[u], label[v])
+        for end in (u, v, label[u], label[v]):
+            np.minimum.at(least, end, low)
+        least = least[least]
+        if (least == label).all():
+            break
+        label = least
+    hung = np.flatnonzero(label != np.arange(len(nodes)))
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[hung]), pa.array(nodes[label[hung]])], ["a", "b"])
+
 
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
@@ -21,10 +51,13 @@ def roots(edges: DataFrame) -> DataFrame:
 
     Each round hangs every neighbour of a node on the smallest one, first those above the node, then
     those below; rounds go on until all nodes hang on their root, about the logarithm of the longest
-    path.  A node with many neighbours is met by one row, so its neighbours can be split over tasks.
+    path.  Before that, tasks of ``SHARE`` edges each contract what they hold, so that a dense part costs
+    no more rows than a tree in every round.  A node with many neighbours is met by one row, so its neighbours can be split over tasks.
     Every round is stored in the shared folder.  Loops and repeated edges are allowed.
     """
-    now = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    given = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
+    tasks = max(1, math.ceil(given.count() / SHARE))
+    now = cut_lineage(given.repartition(tasks).mapInArrow(_forest, "a BIGINT, b BIGINT").distinct(), "edges")
     before, mark = None, _mark(now)
     while mark != before:
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(

@@ -16,12 +16,8 @@ from pixelquery.session import cut_lineage
 SHARE = 100_000
 
 
-def _forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The edges of one task as stars: every node to the smallest that the task's edges join it to."""
-    parts = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches if b.num_rows]
-    if not parts:
-        return
-    a, b = (np.concatenate(x) for x in zip(*parts))
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same components with one edge per node, to the smallest node that the edges join it to."""
     nodes, number = np.unique(np.concatenate([a, b]), return_inverse=True)
     u, v = number[: len(a)], number[len(a) :]
     label = np.arange(len(nodes))
@@ -35,7 +31,13 @@ def _forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             break
         label = least
     hung = np.flatnonzero(label != np.arange(len(nodes)))
-    yield pa.RecordBatch.from_arrays([pa.array(nodes[hung]), pa.array(nodes[label[hung]])], ["a", "b"])
+    return nodes[hung], nodes[label[hung]]
+
+
+def _forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches if b.num_rows]
+    if parts:
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, stars(*map(np.concatenate, zip(*parts))))), ["a", "b"])
 
 
 def _mark(edges: DataFrame) -> tuple:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pixelquery.llm.components import roots
+from pixelquery.llm.components import roots, stars
 from pixelquery.llm.exchange import flat
 from pixelquery.llm.substring import window_hashes
 from pixelquery.llm.text import fresh, keyed, whole, word_hashes
@@ -20,11 +20,13 @@ from pixelquery.session import cut_lineage
 COORDINATES = 64
 #: Buckets up to this size are compared in full; larger ones are split again.
 BUCKET = 256
-#: Sketches at least this alike are put into one cluster for the exact comparison.
-LINKED = 0.3
-#: Sets at least this like a bucket's leader needn't be split further: whatever is similar enough to one
-#: of them (0.8 or more) is still like the leader by LINKED, because Jaccard distances add up.
-SETTLED = 0.65
+#: Sketches at least this alike are put into one cluster for the exact comparison; at a similarity of 0.8
+#: a sketch shows less with a probability under one in a million.
+ALIKE = 0.55
+#: In a bucket that is too large to compare all its sets, those nearly like its leader needn't be split
+#: further: whatever is similar enough to one of them is still somewhat like the leader, because Jaccard
+#: distances add up, and so joins its cluster.
+SETTLED, LINKED = 0.75, 0.35
 #: Sets of one cluster that are compared with one another in one task.
 BLOCK = 256
 _FACTOR = 0xC2B2AE3D27D4EB4F
@@ -164,21 +166,18 @@ def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def leader_edges(path: np.ndarray, rep: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges that join all sets of a bucket whose sketches are alike; rows are ordered by path.
 
-    The first set of each bucket leads: what is like it is linked, what isn't nearly the same stays for
-    the next round, with the next leader, until each bucket has one set left.
+    In each round the first set of every bucket is compared with all that follow it, and goes.  The
+    edges are contracted to one per set, as only clusters matter here.
     """
-    out_a, out_b = [], []
+    out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     while len(path) > 1:
         new = np.append(True, path[1:] != path[:-1])
         head = np.flatnonzero(new)[np.cumsum(new) - 1]
-        alike = _alike(sketch, sketch[head])
-        linked = (alike >= LINKED) & ~new
+        linked = ~new & (_alike(sketch, sketch[head]) >= ALIKE)
         out_a.append(rep[linked])
         out_b.append(rep[head[linked]])
-        left = ~new & (alike < SETTLED)
-        path, rep, sketch = path[left], rep[left], sketch[left]
-    empty = np.empty(0, np.int64)
-    return np.concatenate([empty, *out_a]), np.concatenate([empty, *out_b])
+        path, rep, sketch = path[~new], rep[~new], sketch[~new]
+    return stars(np.concatenate(out_a), np.concatenate(out_b))
 
 
 def bucket_edges(buckets: DataFrame) -> DataFrame:

@@ -138,14 +138,13 @@ def complete_scenes(files: DataFrame, bands: Sequence[str] = tuple(SPECTRAL_BAND
 
 
 def best_scene(scenes: DataFrame, files: DataFrame) -> DataFrame:
-    """The complete scene with least cloud; ties go to the smaller id."""
-    candidates = scenes.select("scene_id", "cloud").join(
+    """The complete scene with least cloud (unknown counts as 100); ties go to the smaller id."""
+    cloud = F.coalesce("cloud", F.lit(100.0)).alias("cloud")
+    candidates = scenes.select("scene_id", cloud).join(
         complete_scenes(files), "scene_id", "left_semi"
     )
-    order = F.struct("cloud", "scene_id")
-    return candidates.agg(
-        F.min_by("scene_id", order).alias("scene_id"), F.min("cloud").alias("cloud")
-    )
+    best = candidates.agg(F.min(F.struct("cloud", "scene_id")).alias("best"))
+    return best.select("best.scene_id", "best.cloud")
 
 
 def fetched_bytes(manifest: DataFrame) -> DataFrame:

@@ -88,7 +88,8 @@ def stratified_split(
         )
     )
     split = (
-        F.when(F.col("_h") <= F.col("_train"), "train")
+        F.when(F.col(label).isNull(), None)  # nothing to learn or to test
+        .when(F.col("_h") <= F.col("_train"), "train")
         .when(F.col("_h") <= F.col("_valid"), "validation")
         .otherwise("test")
     )

@@ -87,16 +87,14 @@ def meets_extent(polygons: DataFrame, grid: Grid) -> Column:
     )
 
 
-def polygons_on_raster(polygons: DataFrame, grid: Grid, key: str = "desc") -> DataFrame:
+def polygons_on_raster(polygons: DataFrame, grid: Grid) -> DataFrame:
     """Polygons that meet the raster extent."""
-    hits = polygons.where(meets_extent(polygons, grid)).select(key)
-    return polygons.join(hits, key, "left_semi")
+    return polygons.where(meets_extent(polygons, grid))
 
 
-def skipped_polygons(polygons: DataFrame, grid: Grid, key: str = "desc") -> DataFrame:
+def skipped_polygons(polygons: DataFrame, grid: Grid) -> DataFrame:
     """The report of polygons left out: those that do not meet the raster."""
-    hits = polygons.where(meets_extent(polygons, grid)).select(key)
-    return polygons.join(hits, key, "left_anti")
+    return polygons.where(~F.coalesce(meets_extent(polygons, grid), F.lit(False)))
 
 
 def clip_polygons(polygons: DataFrame, grid: Grid) -> DataFrame:

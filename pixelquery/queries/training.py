@@ -162,14 +162,14 @@ def _extent_query(select):
 
 
 QUERIES["jon2_polygons_on_raster"] = _extent_query(
-    lambda p, g: spatial.polygons_on_raster(p, g, "area_id").select("area_id", "class")
+    lambda p, g: spatial.polygons_on_raster(p, g).select("area_id", "class")
 )
 ORACLES["jon2_polygons_on_raster"] = with_grid(
     "SELECT a.area_id, class_ AS class FROM areas a JOIN ext USING (area_id), size WHERE " + _MEETS,
     *_AREA_RINGS,
 )
 QUERIES["jon2_polygons_skipped"] = _extent_query(
-    lambda p, g: spatial.skipped_polygons(p, g, "area_id").select("area_id", "class")
+    lambda p, g: spatial.skipped_polygons(p, g).select("area_id", "class")
 )
 ORACLES["jon2_polygons_skipped"] = with_grid(
     f"SELECT a.area_id, class_ AS class FROM areas a JOIN ext USING (area_id), size "

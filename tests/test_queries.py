@@ -25,6 +25,9 @@ SAMPLE = [
     "src4_not_yet_fetched",
     "src7_cloud_from_metadata",
     "win7_stratified_split",
+    "agg21_best_scene",
+    "jon2_polygons_on_raster",
+    "jon2_polygons_skipped",
     "snk2_geojson_polygons",
 ]
 

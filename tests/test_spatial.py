@@ -3,7 +3,7 @@ import random
 import pytest
 from pixelquery import Grid
 from pixelquery.functions import geodesy
-from pixelquery.operators import classify, spatial
+from pixelquery.operators import catalog, classify, spatial
 from pixelquery.schema import training_areas
 from pyspark.sql import functions as F
 
@@ -125,3 +125,10 @@ def test_pixel_address_truncates_and_clamps(spark):
     df = spark.createDataFrame([(104.0, 96.0), (-500.0, 900.0), (1e6, -1e6)], "x DOUBLE, y DOUBLE")
     got = df.select(grid.row_at(F.col("y")).alias("r"), grid.col_at(F.col("x")).alias("c")).collect()
     assert [(g.r, g.c) for g in got] == [(0, 0), (0, 0), (5, 5)]
+
+
+def test_unknown_cloud_counts_as_full(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "complete_scenes", lambda files: files)
+    scenes = spark.createDataFrame([("a", None), ("b", 1.0)], "scene_id STRING, cloud DOUBLE")
+    found = catalog.best_scene(scenes, scenes.select("scene_id")).collect()
+    assert [tuple(r) for r in found] == [("b", 1.0)]

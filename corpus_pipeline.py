@@ -47,7 +47,8 @@ STAGES = [
     ("best-fit packing", packed_sequences),
 ]
 
-#: SQL can express neither the classifier nor the tokenizer; tests/llm holds every stage against a brute-force version.
+#: SQL can express neither the classifier nor the tokenizer. tests/llm compares the two dedup stages with brute
+#: force on their own input; of the others it checks columns and counts, and tests their operators apart.
 ORACLE_SQL = None
 
 

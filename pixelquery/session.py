@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,5 +38,20 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     back gives the optimizer true sizes for choosing the next join.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``cut_lineage`` returned.
+
+    Only for tables of which nothing is read any more: what was made from them must be stored itself.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        jvm, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            if not re.search(r"/pixelquery/[^/]+-[0-9a-f]{32}$", folder):
+                raise ValueError(f"not an intermediate table: {folder}")
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            path.getFileSystem(settings).delete(path, True)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pixelquery.llm import exact_dedup, jaccard, mixing, packing, quality
-from pixelquery.session import cut_lineage
+from pixelquery.session import cut_lineage, discard
 
 CAPACITY = 2048
 
@@ -53,9 +53,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if name != STAGES[-1][0]:
-            docs = cut_lineage(docs, "pipeline")
-    return docs
+    docs, stored = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
+    for _, stage in STAGES[:-1]:
+        docs = cut_lineage(stage(spark, docs, sf_dir), "pipeline")
+        discard(*stored)
+        stored = [docs]
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pixelquery.session import cut_lineage
+from pixelquery.session import cut_lineage, discard
 
 #: Edges that one task contracts at first.
 SHARE = 100_000
@@ -55,11 +55,12 @@ def roots(edges: DataFrame) -> DataFrame:
     those below; rounds go on until all nodes hang on their root, about the logarithm of the longest
     path.  Before that, tasks of ``SHARE`` edges each contract what they hold, so that a dense part costs
     no more rows than a tree in every round.  A node with many neighbours is met by one row, so its neighbours can be split over tasks.
-    Every round is stored in the shared folder.  Loops and repeated edges are allowed.
+    Every round is stored in the shared folder and the one before is deleted.  Loops and repeated edges are allowed.
     """
     given = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
     tasks = max(1, math.ceil(given.count() / SHARE))
     now = cut_lineage(given.repartition(tasks).mapInArrow(_forest, "a BIGINT, b BIGINT").distinct(), "edges")
+    discard(given)
     before, mark = None, _mark(now)
     while mark != before:
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
@@ -71,7 +72,8 @@ def roots(edges: DataFrame) -> DataFrame:
         least = up.groupBy("u").agg(F.min("v").alias("m"))
         down = _towards(up, least)
         hung = down.select(F.col("v").alias("a"), F.col("m").alias("b")).union(down.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        now = cut_lineage(hung.where("a <> b").distinct(), "edges")
+        last, now = now, cut_lineage(hung.where("a <> b").distinct(), "edges")
+        discard(last, up)
         before, mark = mark, _mark(now)
     root = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return root.union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

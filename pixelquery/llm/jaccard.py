@@ -14,7 +14,7 @@ from pixelquery.llm.components import roots, stars
 from pixelquery.llm.exchange import flat
 from pixelquery.llm.substring import window_hashes
 from pixelquery.llm.text import fresh, keyed, whole, word_hashes
-from pixelquery.session import cut_lineage
+from pixelquery.session import cut_lineage, discard
 
 #: Minimum hashes of a set, one byte of each kept; a path splits on one of them at a time.
 COORDINATES = 64
@@ -205,8 +205,11 @@ def bucket_edges(buckets: DataFrame) -> DataFrame:
     return buckets.repartition("path").sortWithinPartitions("path", "rep").mapInArrow(rows, _EDGES)
 
 
-def candidate_edges(reps: DataFrame, runs: int) -> DataFrame:
-    """Edges between sets that may be similar enough, by repeated chosen-path splits of their sketches."""
+def candidate_edges(reps: DataFrame, runs: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Edges between sets that may be similar enough, by repeated chosen-path splits of their sketches.
+
+    Also the stored tables that the edges are read from, to discard once the edges are stored.
+    """
 
     def settle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,18 +231,20 @@ def candidate_edges(reps: DataFrame, runs: int) -> DataFrame:
                 [*again.columns, pa.nulls(again.num_rows, pa.int64())], ["path", "rep", "sketch", "leader"]
             )
 
-    edges, paths = None, first_paths(reps, runs)
+    edges, paths, used = None, first_paths(reps, runs), []
     lead = reps.select(F.col("rep").alias("leader"), F.col("sketch").alias("leads"))
     while True:
         sizes = paths.groupBy("path").agg(F.count("*").alias("n"), F.min("rep").alias("leader")).where("n > 1")
         shared = cut_lineage(paths.join(sizes, "path"), "buckets")
+        used.append(shared)
         small = bucket_edges(shared.where(F.col("n") <= BUCKET).select("path", "rep", "sketch"))
         edges = small if edges is None else edges.union(small)
         large = shared.where(F.col("n") > BUCKET)
         if large.isEmpty():
-            return edges
+            return edges, used
         split = large.join(lead, "leader").select("path", "rep", "sketch", "leader", "leads")
         split = cut_lineage(split.mapInArrow(settle, _PATHS + ", leader BIGINT"), "split")
+        used.append(split)
         edges = edges.union(split.where("leader IS NOT NULL").select(F.col("rep").alias("a"), F.col("leader").alias("b")))
         paths = split.where("leader IS NULL").select("path", "rep", "sketch")
 
@@ -360,10 +365,12 @@ def near_duplicates(
         sets.select("set_a", "set_b", "copies", F.col("f.uid").alias("rep"), "f.none", "f.doc_id", "f.text_hash", "f.sketch"),
         "sets",
     )
-    edges = candidate_edges(sets.select("rep", "sketch"), runs_for(recall, up / down))
+    edges, used = candidate_edges(sets.select("rep", "sketch"), runs_for(recall, up / down))
     clusters = roots(edges).select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
+    discard(*used)  # their edges are in the components now
     members = cut_lineage(sets.select("rep", "copies", "doc_id", "text_hash").join(clusters, "rep"), "members")
     links = verified(members, docs, doc_id, text, words_each, similarity)
+    discard(members)
     counts = links.groupBy("rep").agg(F.sum("n_links").alias("others"))
     classes = roots(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     classes = classes.select(F.col("node").alias("rep"), F.col("root").alias("class"))
@@ -373,6 +380,7 @@ def near_duplicates(
         (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
     linked = cut_lineage(linked, "classes")
+    discard(sets, links)
     stays = F.min(F.struct("none", "doc_id", "rep")).alias("s")
     heads = linked.groupBy("class").agg(stays).select("class", F.col("s.doc_id").alias("head"), F.col("s.rep").alias("stays"))
     of_set = linked.join(heads, "class").select("set_a", "set_b", "head", "stays", "n_links")

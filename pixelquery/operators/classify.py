@@ -19,6 +19,8 @@ from pixelquery.schema import (
     class_dimension,
 )
 
+OTHER = "Other"
+
 
 def threshold_row(
     grid: Grid, lat: float = LAT_WATER_THRESHOLD, lon: float = LON_REFERENCE
@@ -84,23 +86,24 @@ def colours(pred: DataFrame, column: str = "class_id") -> DataFrame:
 
 
 def class_counts(pred: DataFrame, column: str = "class_id") -> DataFrame:
-    """Pixels per class of the class table, classes without pixels included with 0."""
+    """Pixels per class: classes of the class table without pixels have 0, other ids are named Other."""
     counts = valid_pixels(pred, column).groupBy(column).agg(F.count("*").alias("n"))
     dim = class_dimension(pred.sparkSession).select("class_id", "class_name")
-    joined = dim.join(counts.withColumnRenamed(column, "class_id"), "class_id", "left")
-    return joined.select("class_id", "class_name", F.coalesce("n", F.lit(0)).alias("pixels"))
+    joined = dim.join(counts.withColumnRenamed(column, "class_id"), "class_id", "full")
+    name = F.coalesce("class_name", F.lit(OTHER)).alias("class_name")
+    return joined.select("class_id", name, F.coalesce("n", F.lit(0)).alias("pixels"))
 
 
 def area_table(
     pred: DataFrame, grid: Grid, column: str = "class_id", rounded: bool = True
 ) -> DataFrame:
-    """Area and share per class, then a TOTAL row.
+    """Area and share per class, then a TOTAL row.  Shares and TOTAL are of all valid pixels.
 
     Areas are exact decimals, so rounding to 2 places and the total of the rounded areas do not
     depend on the order of summation.  ``rounded=False`` gives the plain doubles.
     """
     counts = class_counts(pred, column)
-    # six rows: the window does not touch pixels
+    # a row per class: the window does not touch pixels
     all_valid = F.sum("pixels").over(Window.partitionBy())
     area = F.col("pixels").cast("decimal(20,0)") * F.lit(grid.pixel_area_km2).cast("decimal(18,10)")
     share = F.coalesce(

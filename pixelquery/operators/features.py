@@ -40,12 +40,16 @@ def _index_columns():
 
 
 def align_layers(*layers: DataFrame) -> DataFrame:
-    """Put separately stored layers on one row per pixel.
+    """Put separately stored layers on one row per pixel; what a layer lacks at a pixel is NULL.
 
-    All joins share the key (row, col), so each layer is shuffled once and the joins chain without
-    further exchanges.
+    Every pixel of any layer stays.  The layers are stacked and grouped by pixel, which is one shuffle
+    whatever their number; a layer has a pixel once, so each column has one value to take.
     """
-    return reduce(lambda left, right: left.join(right, ["row", "col"]), layers)
+    values = [c for layer in layers for c in layer.columns if c not in ("row", "col")]
+    if len(set(values)) < len(values):
+        raise ValueError(f"layers share a column: {sorted(values)}")
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), layers)
+    return stacked.groupBy("row", "col").agg(*[F.first(c, ignorenulls=True).alias(c) for c in values])
 
 
 def _filled_surface(pixels: DataFrame, fill: float | None) -> DataFrame:

@@ -31,7 +31,10 @@ def pair_counts(
 
 
 def confusion_matrix(pairs: DataFrame) -> DataFrame:
-    """Row-normalised matrix: one row per label, one column ``p<id>`` per class."""
+    """Row-normalised matrix: one row per label, one column ``p<id>`` per class.
+
+    ``p_other`` is the share of predictions outside the class table, so that a row adds up to 1.
+    """
     ids = [cid for cid, *_ in CLASSES]
     total = F.sum("n")
     cells = [
@@ -40,7 +43,8 @@ def confusion_matrix(pairs: DataFrame) -> DataFrame:
         )
         for i in ids
     ]
-    return pairs.groupBy("label").agg(*cells)
+    other = F.sum(F.when(~F.col("prediction").isin(ids), F.col("n")).otherwise(0)) / total
+    return pairs.groupBy("label").agg(*cells, other.alias("p_other"))
 
 
 def class_report(pairs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

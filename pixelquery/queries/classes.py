@@ -131,9 +131,9 @@ ORACLES["jon5_class_names"] = with_grid(
 
 
 # area reports ---------------------------------------------------------------------------------
-def _area(column_rule=None, **options):
+def _area(column_rule=None, source=_classes, **options):
     def query(spark, sf_dir):
-        pred = _classes(spark, sf_dir)
+        pred = source(spark, sf_dir)
         if column_rule:
             pred = column_rule(pred, _north(spark, sf_dir))
         return rounded(
@@ -150,8 +150,9 @@ def _area_sql(pred: str, rounded_rows: bool) -> str:
     if rounded_rows:
         area, pct = f"round({area}, 2)", f"round(CAST({pct} AS DOUBLE), 1)"
     rows = (
-        f"cnt AS (SELECT class_id, class_name, CAST(count(p) AS BIGINT) AS n FROM dim "
-        f"LEFT JOIN (SELECT {pred} AS p FROM grid) ON p = class_id GROUP BY 1, 2), "
+        f"cnt AS (SELECT coalesce(class_id, p) AS class_id, coalesce(class_name, 'Other') AS class_name, "
+        f"CAST(count(p) AS BIGINT) AS n FROM dim FULL JOIN (SELECT p FROM (SELECT {pred} AS p FROM grid) "
+        "WHERE p IS NOT NULL) ON p = class_id GROUP BY 1, 2), "
         f"rows_ AS (SELECT class_id, class_name, n AS pixels, {area} AS a, {pct} AS pct "
         "FROM cnt, (SELECT sum(n) AS total FROM cnt))"
     )
@@ -174,6 +175,17 @@ ORACLES["agg10_area_total"] = (
 )
 QUERIES["set2_area_table_with_total"] = _area()
 ORACLES["set2_area_table_with_total"] = _area_sql("y_pred", True)
+
+
+def _with_other_ids(spark, sf_dir):
+    """The class raster with an id that the class table lacks in every third row."""
+    other = F.when((F.col("row") % 3 == 0) & F.col("class_id").isNotNull(), 7)
+    return _classes(spark, sf_dir).withColumn("class_id", other.otherwise(F.col("class_id")))
+
+
+_OTHER_SQL = "CASE WHEN r % 3 = 0 AND y_pred IS NOT NULL THEN 7 ELSE y_pred END"
+QUERIES["agg10_area_with_other_ids"] = _area(source=_with_other_ids)
+ORACLES["agg10_area_with_other_ids"] = _area_sql(_OTHER_SQL, True)
 QUERIES["agg13_area_after_mask"] = _area(classify.northern_mask, rounded=False)
 ORACLES["agg13_area_after_mask"] = _area_sql(_MASKED, False)
 
@@ -261,19 +273,34 @@ _PER_CLASS = (
     "coalesce(hits / nullif(support, 0), 0) AS rec, "
     "coalesce(2.0 * hits / nullif(support + predicted, 0), 0) AS f1 FROM per)"
 )
-_MATRIX = [f"p{i}" for i, *_ in CLASSES]
+_MATRIX = [*[f"p{i}" for i, *_ in CLASSES], "p_other"]
+
+
+def _other_pairs(spark, sf_dir):
+    """Predictions in every third row are of an id that the class table lacks."""
+    truth = fixtures.pixels(spark, sf_dir).select("row", "col", "y_true")
+    pred = _with_other_ids(spark, sf_dir)
+    return metrics.pair_counts(truth.join(pred, ["row", "col"]), "y_true", "class_id")
+
+
+def _matrix_sql(pairs: str) -> str:
+    ids = ", ".join(str(i) for i, *_ in CLASSES)
+    cells = [(f"prediction = {i}", f"p{i}") for i, *_ in CLASSES] + [(f"prediction NOT IN ({ids})", "p_other")]
+    shares = [r(f"sum(CASE WHEN {test} THEN n ELSE 0 END) / sum(n)") + f" AS {name}" for test, name in cells]
+    return with_grid(f"SELECT label, {', '.join(shares)} FROM pairs GROUP BY label", pairs)
+
+
 
 QUERIES["agg14_confusion_matrix"] = lambda spark, sf_dir: rounded(
     metrics.confusion_matrix(_pairs(spark, sf_dir)), *_MATRIX
 )
-ORACLES["agg14_confusion_matrix"] = with_grid(
-    "SELECT label, "
-    + ", ".join(
-        r(f"sum(CASE WHEN prediction = {i} THEN n ELSE 0 END) / sum(n)") + f" AS p{i}"
-        for i, *_ in CLASSES
-    )
-    + " FROM pairs GROUP BY label",
-    _PAIRS,
+ORACLES["agg14_confusion_matrix"] = _matrix_sql(_PAIRS)
+QUERIES["agg14_confusion_with_other_ids"] = lambda spark, sf_dir: rounded(
+    metrics.confusion_matrix(_other_pairs(spark, sf_dir)), *_MATRIX
+)
+ORACLES["agg14_confusion_with_other_ids"] = _matrix_sql(
+    f"pairs AS (SELECT y_true AS label, {_OTHER_SQL} AS prediction, count(*) AS n FROM grid "
+    "WHERE y_true IS NOT NULL AND y_pred IS NOT NULL GROUP BY 1, 2)"
 )
 QUERIES["agg15_overall_scores"] = lambda spark, sf_dir: rounded(
     metrics.overall_scores(_pairs(spark, sf_dir)), "accuracy", "f1_weighted", "kappa"

@@ -180,7 +180,7 @@ QUERIES["jon4_align_layers"] = _align
 ORACLES["jon4_align_layers"] = with_grid(
     "SELECT r AS row, c AS col, "
     + ", ".join(f"{r(sql)} AS {b}" for b, sql in _BANDS_SQL.items())
-    + f", {r('z')} AS Elevation FROM grid WHERE d03 IS NOT NULL"
+    + f", {r('z')} AS Elevation FROM grid"
 )
 
 

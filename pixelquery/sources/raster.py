@@ -47,21 +47,23 @@ def read_raster(
     path: str,
     bands: dict[str, T.DataType] | list[str],
     window: tuple[int, int, int, int] | None = None,
-    tile: int = 256,
+    tile: int | None = None,
 ) -> DataFrame:
     """Scan bands, optionally only rows ``[r0, r1)`` and columns ``[c0, c1)``.
 
-    The window also restricts ``tile_row`` (directory pruning) and ``tile_col`` (row-group pruning).
+    With the tile size that the raster was written with, the window also restricts ``tile_row``
+    (directory pruning) and ``tile_col`` (row-group pruning); without it, row groups are pruned by
+    ``row`` and ``col`` alone.
     """
     df = spark.read.schema(raster_schema(bands)).parquet(path)
     if window:
         r0, r1, c0, c1 = window
-        df = df.where(
-            F.col("tile_row").between(r0 // tile, (r1 - 1) // tile)
-            & F.col("tile_col").between(c0 // tile, (c1 - 1) // tile)
-            & F.col("row").between(r0, r1 - 1)
-            & F.col("col").between(c0, c1 - 1)
-        )
+        if tile:
+            df = df.where(
+                F.col("tile_row").between(r0 // tile, (r1 - 1) // tile)
+                & F.col("tile_col").between(c0 // tile, (c1 - 1) // tile)
+            )
+        df = df.where(F.col("row").between(r0, r1 - 1) & F.col("col").between(c0, c1 - 1))
     return df
 
 

@@ -20,6 +20,9 @@ SAMPLE = [
     "training_table",
     "jon8_warp_to_utm",
     "set2_area_table_with_total",
+    "agg10_area_with_other_ids",
+    "agg14_confusion_with_other_ids",
+    "jon4_align_layers",
     "agg16_class_report",
     "agg17_connected_regions",
     "src4_not_yet_fetched",

@@ -1,10 +1,11 @@
 import json
+import os
 
 import pytest
 from pixelquery import Grid
 from pixelquery.operators import catalog, classify, spatial
 from pixelquery.schema import BAND_NAMES, TRAINING_AREAS, training_areas
-from pixelquery.session import cut_lineage, scratch_root
+from pixelquery.session import cut_lineage, discard, scratch_root
 from pixelquery.sources import raster, tables, vector
 from pyspark.sql import functions as F
 
@@ -124,6 +125,17 @@ def test_intermediate_tables_use_the_session_folder(spark):
     assert all(scratch_root(spark) in f for f in table.inputFiles())
 
 
+def test_only_intermediate_tables_are_discarded(spark, tmp_path):
+    gone, stays = cut_lineage(spark.range(5), "gone"), cut_lineage(spark.range(7), "stays")
+    discard(gone)
+    assert stays.count() == 7
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in gone.inputFiles())
+    spark.range(3).write.parquet(str(tmp_path / "own"))
+    with pytest.raises(ValueError):
+        discard(spark.read.parquet(str(tmp_path / "own")))
+    assert spark.read.parquet(str(tmp_path / "own")).count() == 3
+
+
 @pytest.mark.parametrize("height,width", [(3966, 3517), (1, 1)])
 def test_tiles_cover_the_grid(height, width):
     grid = Grid(0, 0, 10, height, width)
@@ -149,3 +161,10 @@ def test_boundary_lines_as_geojson(spark):
     feature = json.loads(vector.lines_to_geojson(arcs).first().value)
     assert feature["properties"] == {"class_id": 3}
     assert feature["geometry"] == {"type": "LineString", "coordinates": [[1.0, 2.0], [3.0, 4.0]]}
+
+
+def test_window_scan_without_tile_size_keeps_all_rows(spark, tmp_path):
+    grid = Grid(0, 0, 10, 100, 100, tile=64)
+    pixels = grid.cells(spark).select("row", "col", F.lit(1.0).alias("v"))
+    raster.write_raster(pixels, grid, str(tmp_path / "r"))
+    assert raster.read_raster(spark, str(tmp_path / "r"), ["v"], (60, 70, 60, 70)).count() == 100

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -101,17 +102,21 @@ def texture(pixels: DataFrame, grid: Grid) -> DataFrame:
 
 
 def feature_stack(
-    pixels: DataFrame, grid: Grid, cellsize: float = 10.0, fill: float | None = None
+    pixels: DataFrame,
+    grid: Grid,
+    cellsize: float = 10.0,
+    fill: float | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """All 29 bands of a table ``row, col, B02..B12 (DN), Elevation``, in stack order.
 
     Only the six bands and the elevation travel through the shuffle; terrain and texture windows
-    share it, and the indices are computed after it.
+    share it, and the indices are computed after it.  Columns to ``keep`` travel along.
     """
-    pixels = to_reflectance(pixels.select("row", "col", *SPECTRAL_BANDS, "Elevation"))
+    pixels = to_reflectance(pixels.select("row", "col", *SPECTRAL_BANDS, "Elevation", *keep))
     pixels = _texture_inputs(_filled_surface(pixels, fill))
     windows = focal(
         pixels, grid, _TERRAIN_STATS + _TEXTURE_STATS, Derivatives("_z", cellsize)
     )
     bands = windows.withColumns({**_index_columns(), **_terrain_columns()})
-    return bands.select("tile_row", "tile_col", "row", "col", *BAND_NAMES)
+    return bands.select("tile_row", "tile_col", "row", "col", *BAND_NAMES, *keep)

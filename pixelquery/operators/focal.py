@@ -121,6 +121,29 @@ def in_tile(axis: str, grid: Grid) -> Column:
     )
 
 
+def _complete(axis: str, grid: Grid, radius: int) -> Column:
+    """True where a line of the tile goes on without a gap, from one end of the halo to the other.
+
+    Windows count rows, so a missing or repeated pixel would shift all that follow; it is an error.
+    """
+    line = "row" if axis == "col" else "col"
+    window, tile, position = along(line), F.col(f"tile_{axis}"), F.col(axis)
+    extent = grid.height if axis == "row" else grid.width
+    first = tile * grid.tile - radius
+    last = F.least((tile + 1) * grid.tile, F.lit(extent)) + F.lit(radius - 1)
+    before, after = F.lag(axis).over(window), F.lead(axis).over(window)
+    return F.coalesce(before == position - 1, position == first) & F.coalesce(
+        after == position + 1, position == last
+    )
+
+
+def _checked(axis: str) -> Column:
+    message = f"windows need every pixel once: a {axis} is missing or repeated, see Grid.densify"
+    return F.when(F.col(f"_whole_{axis}"), F.lit(True)).otherwise(
+        F.raise_error(F.lit(message)).cast("boolean")
+    )
+
+
 def _gradient(value: str, window, axis: str, extent: int, step: float) -> Column:
     """Central difference, one-sided at the edges of the grid."""
     if extent == 1:
@@ -139,7 +162,11 @@ def focal(
     stats: Sequence[LocalStats] = (),
     derivatives: Derivatives | None = None,
 ) -> DataFrame:
-    """Add all the asked-for neighbourhood columns in one shuffle.  The grid must be dense."""
+    """Add all the asked-for neighbourhood columns in one shuffle.
+
+    Every pixel of the grid must be there once, or the job fails.  For a sparse raster, add the missing
+    pixels with ``Grid.densify`` and choose what stands in for their values.
+    """
     radius = max([s.size // 2 for s in stats] + ([2] if derivatives else []))
     kept = [c for c in df.columns if c not in ("tile_row", "tile_col")]
     tiles = halo(df, grid, radius)
@@ -157,10 +184,11 @@ def focal(
     if derivatives:
         step = float(derivatives.cellsize)
         row_pass["zx"] = _gradient(derivatives.value, along_row, "col", grid.width, step)
+    row_pass["_whole_col"] = _complete("col", grid, radius)
     tiles = tiles.withColumns(row_pass)
     if derivatives:
         tiles = tiles.withColumn("zxx", _gradient("zx", along_row, "col", grid.width, step))
-    tiles = tiles.where(in_tile("col", grid))
+    tiles = tiles.where(_checked("col") & in_tile("col", grid))
 
     col_pass = {
         name: F.avg(name).over(along_col.rowsBetween(-r, r)) for name, (_, r) in moments.items()
@@ -168,10 +196,11 @@ def focal(
     if derivatives:
         col_pass["zy"] = _gradient(derivatives.value, along_col, "row", grid.height, step)
         col_pass["zxy"] = _gradient("zx", along_col, "row", grid.height, step)
+    col_pass["_whole_row"] = _complete("row", grid, radius)
     tiles = tiles.withColumns(col_pass)
     if derivatives:
         tiles = tiles.withColumn("zyy", _gradient("zy", along_col, "row", grid.height, step))
-    tiles = tiles.where(in_tile("row", grid))
+    tiles = tiles.where(_checked("row") & in_tile("row", grid))
 
     out = [F.col("tile_row"), F.col("tile_col")] + [F.col(c) for c in kept]
     if derivatives:

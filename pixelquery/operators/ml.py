@@ -8,6 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     OneVsRest,
+    OneVsRestModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pixelquery.operators.metrics import overall_scores, pair_counts
 from pixelquery.operators.stats import balanced_weights
 from pixelquery.schema import BAND_NAMES, RANDOM_STATE
+from pixelquery.session import cut_lineage, discard
 
 RANDOM_FOREST = "Random Forest"
 GRADIENT_BOOSTING = "Gradient Boosting"
@@ -153,23 +155,32 @@ def gradient_boosting(iterations: int = 200, depth: int = 6, seed: int = RANDOM_
     return OneVsRest(classifier=booster, labelCol=LABEL, weightCol=WEIGHT, parallelism=2)
 
 
-def fit(train: DataFrame, estimator, features: Sequence[str] = tuple(BAND_NAMES)) -> PipelineModel:
+def fit(
+    train: DataFrame,
+    estimator,
+    features: Sequence[str] = tuple(BAND_NAMES),
+    keys: Sequence[str] = ("row", "col"),
+    parts: int = 64,
+) -> PipelineModel:
     """Scale, weight the classes equally and fit; the result is one persistable model.
 
-    Tree growth passes over the rows once per level, so they are first spread evenly over all tasks;
-    a table read back from a few files would otherwise keep most of the cluster idle.
+    The rows are evaluated once and stored.  Tree growth passes over them once per level, so they are
+    dealt by a hash of their keys into ``parts`` partitions: how many is a matter of the labelled rows,
+    not of the cluster, and one seed gives one model.
     """
-    parts = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    weighted = balanced_weights(train.repartition(parts), LABEL)
-    return Pipeline(stages=[*_front(train, features), estimator]).fit(weighted)
+    stored = cut_lineage(train, "fitting")
+    weighted = balanced_weights(stored.repartition(parts, *keys), LABEL)
+    model = Pipeline(stages=[*_front(stored, features), estimator]).fit(weighted)
+    discard(stored)
+    return model
 
 
 def feature_importances(model: PipelineModel, features: Sequence[str]) -> dict[str, float]:
-    """Importance by feature name; models without importances give zeros."""
+    """Importance by feature name; of one ensemble per class, the mean of theirs."""
     last = model.stages[-1]
-    if not hasattr(last, "featureImportances"):
-        return dict.fromkeys(features, 0.0)
-    return dict(zip(features, last.featureImportances.toArray().tolist(), strict=True))
+    ensembles = last.models if isinstance(last, OneVsRestModel) else [last]
+    shares = sum(e.featureImportances.toArray() for e in ensembles) / len(ensembles)
+    return dict(zip(features, shares.tolist(), strict=True))
 
 
 def importance_table(spark, rf: dict[str, float], gb: dict[str, float]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pixelquery import fixtures
 from pixelquery.operators import classify, metrics, ml, stats
-from pixelquery.queries import spectral
+from pixelquery.queries import spectral, surface
 from pixelquery.queries.classes import _DIM, _PER_CLASS
 from pixelquery.queries.common import INDEX_CTE, r, rounded, with_grid
 from pixelquery.schema import BAND_NAMES, SPECTRAL_BANDS
@@ -15,11 +15,21 @@ from pixelquery.session import cut_lineage
 QUERIES = {}
 ORACLES = {}
 
-FEATURES = BAND_NAMES[:19]
 _LOWER = [b.lower() for b in SPECTRAL_BANDS]
-# ensembles sized for a quick check; the defaults of the operators are the full-size ones
+# all bands and all labelled rows, but smaller ensembles than the defaults of the operators: at the full size
+# (200 trees of depth 20) the forest alone took over a minute on 10,000 rows, so it isn't fitted in a query
 TREES, DEPTH, ROUNDS, ROUND_DEPTH = 10, 12, 3, 4
 
+# tables and models of a session, by kind and folder: all queries below read the same ones
+_MADE = {}
+
+
+def _once(kind, make, spark, sf_dir):
+    key = spark.sparkContext.applicationId, sf_dir, kind
+    if key not in _MADE:
+        _MADE[key] = make(spark, sf_dir)
+    return _MADE[key]
+
 
 def _labelled(spark, sf_dir):
     return fixtures.pixels(spark, sf_dir).withColumn(ml.LABEL, F.col("y_true").cast("double"))
@@ -97,43 +107,56 @@ ORACLES["agg22_balanced_weights"] = with_grid(
 
 
 # models ---------------------------------------------------------------------------------------
-def _learning_rows(spark, sf_dir):
-    """Valid pixels with label and split, stored first because the split reads them three times."""
-    px = spectral.indices(spark, sf_dir).dropna("any", subset=FEATURES)
+def scene_stack(spark, sf_dir):
+    """The stored 29 bands with the true class."""
+    return _once("stack", lambda s, d: cut_lineage(surface.stack(s, d, "y_true"), "stack"), spark, sf_dir)
+
+
+def _split_rows(spark, sf_dir):
+    px = scene_stack(spark, sf_dir).dropna("any", subset=BAND_NAMES)
     px = px.withColumn(ml.LABEL, F.col("y_true").cast("double"))
-    stored = cut_lineage(px.select("row", "col", ml.LABEL, *FEATURES), "labelled")
-    return cut_lineage(ml.stratified_split(stored), "training")
+    return cut_lineage(ml.stratified_split(px.select("row", "col", ml.LABEL, *BAND_NAMES)), "training")
+
 
+def learning_rows(spark, sf_dir):
+    """Pixels with all 29 bands valid, label and split; stored."""
+    return _once("rows", _split_rows, spark, sf_dir)
 
-def _forest(rows):
-    return ml.fit(rows.where("split = 'train'"), ml.random_forest(TREES, DEPTH), FEATURES)
 
+def _fitted(estimator, spark, sf_dir):
+    return ml.fit(learning_rows(spark, sf_dir).where("split = 'train'"), estimator, parts=8)
 
-def _boosting(rows):
+
+def forest(spark, sf_dir):
+    estimator = ml.random_forest(TREES, DEPTH)
+    return _once("forest", lambda s, d: _fitted(estimator, s, d), spark, sf_dir)
+
+
+def boosting(spark, sf_dir):
     estimator = ml.gradient_boosting(ROUNDS, ROUND_DEPTH)
-    return ml.fit(rows.where("split = 'train'"), estimator, FEATURES)
+    return _once("boosting", lambda s, d: _fitted(estimator, s, d), spark, sf_dir)
 
 
-def _test_predictions(build):
+def _test_predictions(model):
     def query(spark, sf_dir):
-        rows = _learning_rows(spark, sf_dir)
-        scored = build(rows).transform(rows.where("split = 'test'"))
+        rows = learning_rows(spark, sf_dir)
+        scored = model(spark, sf_dir).transform(rows.where("split = 'test'"))
         return scored.select("row", "col", ml.LABEL, "prediction")
 
     return query
 
 
-QUERIES["ml3_random_forest"] = _test_predictions(_forest)
-QUERIES["ml4_gradient_boosting"] = _test_predictions(_boosting)
+QUERIES["ml3_random_forest"] = _test_predictions(forest)
+QUERIES["ml4_gradient_boosting"] = _test_predictions(boosting)
 
 
-def _both(rows):
-    return {ml.RANDOM_FOREST: _forest(rows), ml.GRADIENT_BOOSTING: _boosting(rows)}
+def _both(spark, sf_dir):
+    return {ml.RANDOM_FOREST: forest(spark, sf_dir), ml.GRADIENT_BOOSTING: boosting(spark, sf_dir)}
 
 
 def _evaluated(spark, sf_dir):
-    rows = _learning_rows(spark, sf_dir)
-    models = _both(rows)
+    rows = learning_rows(spark, sf_dir)
+    models = _both(spark, sf_dir)
     scores = None
     for part in ("validation", "test"):
         one = ml.evaluate(models, rows.where(F.col("split") == part))
@@ -146,8 +169,8 @@ QUERIES["ml5_evaluate"] = _evaluated
 
 
 def _selected(spark, sf_dir):
-    rows = _learning_rows(spark, sf_dir)
-    scores = ml.evaluate(_both(rows), rows.where("split = 'validation'"))
+    rows = learning_rows(spark, sf_dir)
+    scores = ml.evaluate(_both(spark, sf_dir), rows.where("split = 'validation'"))
     return metrics.best_model(scores, [ml.RANDOM_FOREST, ml.GRADIENT_BOOSTING])
 
 
@@ -155,18 +178,15 @@ QUERIES["ml6_model_selection"] = _selected
 
 
 def _scored(spark, sf_dir):
-    model = _forest(_learning_rows(spark, sf_dir))
-    return ml.score(model, spectral.indices(spark, sf_dir), FEATURES)
+    return ml.score(forest(spark, sf_dir), scene_stack(spark, sf_dir)).select("row", "col", "class_id")
 
 
 QUERIES["ml7_score_scene"] = _scored
 
 
 def _importances(spark, sf_dir):
-    rows = _learning_rows(spark, sf_dir)
-    forest = ml.feature_importances(_forest(rows), FEATURES)
-    zeros = dict.fromkeys(FEATURES, 0.0)
-    return metrics.top_features(ml.importance_table(spark, forest, zeros))
+    shares = [ml.feature_importances(m, BAND_NAMES) for m in _both(spark, sf_dir).values()]
+    return metrics.top_features(ml.importance_table(spark, *shares))
 
 
 QUERIES["ml8_feature_importances"] = _importances
@@ -181,21 +201,19 @@ def _masked_coverage(spark, sf_dir):
 QUERIES["flt2_scored_pixels"] = _masked_coverage
 ORACLES["flt2_scored_pixels"] = with_grid(
     "SELECT r AS row, c AS col, "
-    + " AND ".join(
-        f"{c} IS NOT NULL" for c in [*_LOWER, *BAND_NAMES[6:18], "z"]
-    )
-    + " AS scored FROM idx",
-    INDEX_CTE,
+    + " AND ".join(f"{b} IS NOT NULL" for b in BAND_NAMES)
+    + " AS scored FROM stack",
+    *surface.STACK_CTES,
 )
 
 
 # rankings over measures taken from the data ---------------------------------------------------
-_RANKED = [*FEATURES, "x", "y"]
+_RANKED = [*BAND_NAMES, "x", "y"]
 
 
 def _ranked_features(spark, sf_dir):
     """Rank features by their correlation with the label and with the elevation."""
-    px = spectral.indices(spark, sf_dir).where("y_true IS NOT NULL")
+    px = surface.stack(spark, sf_dir, "x", "y", "y_true").where("y_true IS NOT NULL")
     pairs = F.array(
         *[F.struct(F.lit(f).alias("feature"), F.col(f).alias("v")) for f in _RANKED]
     )
@@ -211,11 +229,12 @@ QUERIES["srt2_top_features"] = _ranked_features
 ORACLES["srt2_top_features"] = with_grid(
     f"SELECT feature, {r('rf')} AS rf, {r('gb')} AS gb, {r('(rf + gb) / 2')} AS mean_importance "
     "FROM imp ORDER BY (rf + gb) / 2 DESC, feature LIMIT 20",
-    INDEX_CTE,
+    *surface.STACK_CTES[:-1],
+    surface.STACK_CTES[-1].replace("stack AS (", "stack AS MATERIALIZED (", 1),
     "imp AS ("
     + " UNION ALL ".join(
-        f"SELECT '{f}' AS feature, abs(corr({s}, y_true)) AS rf, abs(corr({s}, b11)) AS gb FROM idx"
-        for f, s in [(f, {"Elevation": "z"}.get(f, f)) for f in _RANKED]
+        f"SELECT '{f}' AS feature, abs(corr({f}, y_true)) AS rf, abs(corr({f}, B11)) AS gb FROM stack"
+        for f in _RANKED
     )
     + ")",
 )

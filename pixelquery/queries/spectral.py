@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pixelquery import fixtures
 from pixelquery.functions import reflectance as R
 from pixelquery.operators import features, stats
+from pixelquery.queries import surface
 from pixelquery.queries.common import INDEX_CTE, INDEX_SQL, r, rounded, with_grid
 from pixelquery.schema import BAND_NAMES, SPECTRAL_BANDS
 
@@ -185,14 +186,13 @@ ORACLES["jon4_align_layers"] = with_grid(
 
 
 def _valid_rows(spark, sf_dir):
-    px = indices(spark, sf_dir).dropna("any", subset=[*_SPECTRAL, "Elevation"])
+    px = surface.stack(spark, sf_dir).dropna("any", subset=BAND_NAMES)
     return rounded(px.select("row", "col", "NDVI", "SR", "Elevation"), "NDVI", "SR", "Elevation")
 
 
 QUERIES["flt1_valid_in_all_bands"] = _valid_rows
 ORACLES["flt1_valid_in_all_bands"] = with_grid(
-    f"SELECT r AS row, c AS col, {r('NDVI')} AS NDVI, {r('SR')} AS SR, {r('z')} AS Elevation "
-    "FROM idx WHERE "
-    + " AND ".join(f"{c} IS NOT NULL" for c in [*_BANDS_SQL.values(), *INDEX_SQL, "z"]),
-    INDEX_CTE,
+    f"SELECT r AS row, c AS col, {r('NDVI')} AS NDVI, {r('SR')} AS SR, {r('Elevation')} AS Elevation "
+    "FROM stack WHERE " + " AND ".join(f"{b} IS NOT NULL" for b in BAND_NAMES),
+    *surface.STACK_CTES,
 )

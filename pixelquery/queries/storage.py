@@ -198,13 +198,12 @@ ORACLES["snk9_publish"] = (
 def _model_round_trip(spark, sf_dir):
     """Scores of a saved and reloaded model next to those of the model itself."""
     path = scratch_path(spark, "model")
-    rows = learning._learning_rows(spark, sf_dir)
-    model = learning._forest(rows)
+    model = learning.forest(spark, sf_dir)
     landcover.save_model(model, path)
-    stack = spectral.indices(spark, sf_dir)
-    one = ml.score(model, stack, learning.FEATURES)
-    two = ml.score(landcover.load_model(path), stack, learning.FEATURES)
-    both = one.join(two.withColumnRenamed("class_id", "reloaded"), ["row", "col"])
+    stack = learning.scene_stack(spark, sf_dir)
+    one = ml.score(model, stack).select("row", "col", "class_id")
+    two = ml.score(landcover.load_model(path), stack).select("row", "col", F.col("class_id").alias("reloaded"))
+    both = one.join(two, ["row", "col"])
     return both.select("row", "col", F.col("class_id").eqNullSafe(F.col("reloaded")).alias("same"))
 
 

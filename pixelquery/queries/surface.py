@@ -137,6 +137,32 @@ def _mean_query(size):
     return query
 
 
+def _sparse_layer(spark, sf_dir):
+    """A layer that lacks pixels, completed: 0.25 stands in for B03 where there is none."""
+    layer = features.to_reflectance(fixtures.band_layer(spark, sf_dir), ["B03"]).select("row", "col", "B03")
+    dense = fixtures.pixel_grid(spark, sf_dir).densify(layer)
+    return dense.withColumn("v", F.coalesce("B03", F.lit(0.25)))
+
+
+def _sparse_windows(spark, sf_dir):
+    grid = fixtures.pixel_grid(spark, sf_dir)
+    stats_ = [LocalStats("v", 3, mean="mean")]
+    out = focal(_sparse_layer(spark, sf_dir), grid, stats_, Derivatives("v", 10.0))
+    return rounded(out.select("row", "col", "mean", "zx", "zy"), "mean", "zx", "zy")
+
+
+QUERIES["win1_windows_of_sparse_layer"] = _sparse_windows
+ORACLES["win1_windows_of_sparse_layer"] = (
+    with_grid(
+        f"SELECT r AS row, c AS col, {r('z3')} AS mean, {r('zx')} AS zx, {r('zy')} AS zy "
+        "FROM g2 JOIN vpass ON r = pr AND c = pc",
+        INDEX_CTE,
+        "base AS (SELECT g.*, coalesce(b03, 0.25) AS zf, 0.0 AS nd, 0.0 AS nir FROM idx g)",
+        _PAD,
+        _MEANS,
+        _SLOPES,
+    )
+)
 QUERIES["win2_mean_3x3"] = _mean_query(3)
 ORACLES["win2_mean_3x3"] = _surface_oracle({"mean": "z3"})
 QUERIES["win3_mean_11x11"] = _mean_query(11)
@@ -209,9 +235,9 @@ ORACLES["agg2_elevation_median"] = with_grid(
 
 
 # whole stack ----------------------------------------------------------------------------------
-def stack(spark, sf_dir):
+def stack(spark, sf_dir, *keep):
     grid = fixtures.pixel_grid(spark, sf_dir)
-    return features.feature_stack(fixtures.pixels(spark, sf_dir), grid)
+    return features.feature_stack(fixtures.pixels(spark, sf_dir), grid, keep=keep)
 
 
 def _stack_rows(spark, sf_dir):

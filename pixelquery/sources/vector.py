@@ -21,15 +21,13 @@ _FEATURE = T.StructType(
             T.StructType(
                 [
                     T.StructField("type", T.StringType()),
-                    T.StructField(
-                        "coordinates",
-                        T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))),
-                    ),
+                    T.StructField("coordinates", T.StringType()),  # nested as the type says
                 ]
             ),
         ),
     ]
 )
+_RINGS = "array<array<array<double>>>"
 
 
 def to_geojson(polygons: DataFrame) -> DataFrame:
@@ -49,14 +47,30 @@ def to_geojson(polygons: DataFrame) -> DataFrame:
     )
 
 
+def _one_ring(rings: Column) -> Column:
+    """All rings of a shape, closed, as one: each further ring is visited from the very first point.
+
+    The way there and back cancels out in an even-odd test, so holes are outside and all parts inside.
+    """
+    origin = F.slice(F.get(rings, F.lit(0)), 1, 1)
+    further = F.slice(rings, 2, F.greatest(F.size(rings), F.lit(1)))
+    return F.concat(
+        F.get(rings, F.lit(0)), F.flatten(F.transform(further, lambda ring: F.concat(ring, origin)))
+    )
+
+
 def _polygon_columns(feature: str) -> list[Column]:
-    outer = F.get(F.col(f"{feature}.geometry.coordinates"), F.lit(0))
-    ring = F.transform(outer, lambda c: point(F.get(c, F.lit(0)), F.get(c, F.lit(1))))
+    coordinates = F.col(f"{feature}.geometry.coordinates")
+    rings = F.when(
+        F.col(f"{feature}.geometry.type") == "MultiPolygon",
+        F.flatten(F.from_json(coordinates, f"array<{_RINGS}>")),
+    ).otherwise(F.from_json(coordinates, _RINGS))
+    ring = F.transform(_one_ring(rings), lambda c: point(F.get(c, F.lit(0)), F.get(c, F.lit(1))))
     return [F.col(f"{feature}.properties.{n}").alias(n) for n in _PROPERTIES] + [ring.alias("ring")]
 
 
 def from_geojson(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Feature texts, one per row, to polygon rows."""
+    """Feature texts, one per row, to polygon rows; holes and several parts go into one even-odd ring."""
     parsed = lines.select(F.from_json(column, _FEATURE).alias("f"))
     return parsed.select(*_polygon_columns("f"))
 

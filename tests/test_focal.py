@@ -142,3 +142,15 @@ def test_clip_to_aoi(spark):
     assert [(r.scene, r.coverage_pct) for r in row] == [("in", 25.0)]
     with pytest.raises(Exception, match="does not intersect"):
         resample.clip_to_aoi(bounds, (5, 5, 15, 15), strict=True).collect()
+
+
+@pytest.mark.parametrize("lost", ["row = 1 AND col = 2", "row = 0", "col = 5", "row = 5 AND col = 5", "tile_row = 1"])
+def test_windows_refuse_a_raster_with_gaps(spark, lost):
+    grid = Grid(0, 0, 10, 6, 6, tile=3)
+    whole = grid.with_tiles(frame(spark, z=np.arange(36.0).reshape(6, 6)))
+    stats = [LocalStats("z", 3, mean="m")]
+    assert focal(whole, grid, stats).count() == 36
+    with pytest.raises(Exception, match="every pixel once"):
+        focal(whole.where(f"NOT ({lost})"), grid, stats).collect()
+    filled = grid.densify(whole.where(f"NOT ({lost})").drop("tile_row", "tile_col")).fillna(0.0, "z")
+    assert focal(filled, grid, stats).count() == 36

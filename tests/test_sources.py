@@ -168,3 +168,19 @@ def test_window_scan_without_tile_size_keeps_all_rows(spark, tmp_path):
     pixels = grid.cells(spark).select("row", "col", F.lit(1.0).alias("v"))
     raster.write_raster(pixels, grid, str(tmp_path / "r"))
     assert raster.read_raster(spark, str(tmp_path / "r"), ["v"], (60, 70, 60, 70)).count() == 100
+
+
+def test_holes_and_parts_of_a_geojson_layer(spark):
+    def box(a, b):
+        return [[a, a], [b, a], [b, b], [a, b], [a, a]]
+
+    shapes = {"Polygon": [box(0, 60), box(20, 40)], "MultiPolygon": [[box(0, 60), box(20, 40)], [box(70, 90)]]}
+    lines = [
+        (json.dumps({"type": "Feature", "properties": {"class": t, "class_id": 1}, "geometry": {"type": t, "coordinates": c}}),)
+        for t, c in shapes.items()
+    ]
+    layer = vector.from_geojson(spark.createDataFrame(lines, "value STRING"))
+    grid = Grid(0, 100, 10, 10, 10)
+    hits = spatial.label_pixels(grid.cells(spark), layer.select("class", "class_id", "ring"), grid)
+    found = {r["class"]: r["count"] for r in hits.groupBy("class").count().collect()}
+    assert found == {"Polygon": 36 - 4, "MultiPolygon": 36 - 4 + 4}

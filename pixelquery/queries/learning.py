@@ -16,9 +16,6 @@ QUERIES = {}
 ORACLES = {}
 
 _LOWER = [b.lower() for b in SPECTRAL_BANDS]
-# all bands and all labelled rows, but smaller ensembles than the defaults of the operators: at the full size
-# (200 trees of depth 20) the forest alone took over a minute on 10,000 rows, so it isn't fitted in a query
-TREES, DEPTH, ROUNDS, ROUND_DEPTH = 10, 12, 3, 4
 
 # tables and models of a session, by kind and folder: all queries below read the same ones
 _MADE = {}
@@ -128,13 +125,13 @@ def _fitted(estimator, spark, sf_dir):
 
 
 def forest(spark, sf_dir):
-    estimator = ml.random_forest(TREES, DEPTH)
-    return _once("forest", lambda s, d: _fitted(estimator, s, d), spark, sf_dir)
+    """The forest of the operator's defaults, fitted once a session on all labelled rows and bands."""
+    return _once("forest", lambda s, d: _fitted(ml.random_forest(), s, d), spark, sf_dir)
 
 
 def boosting(spark, sf_dir):
-    estimator = ml.gradient_boosting(ROUNDS, ROUND_DEPTH)
-    return _once("boosting", lambda s, d: _fitted(estimator, s, d), spark, sf_dir)
+    """The boosted ensembles of the operator's defaults, fitted once a session on all labelled rows and bands."""
+    return _once("boosting", lambda s, d: _fitted(ml.gradient_boosting(), s, d), spark, sf_dir)
 
 
 def _test_predictions(model):

@@ -25,9 +25,13 @@ CUT = re.compile(r"(?<=[a-zA-Z]) (?=[a-zA-Z])")
 def _library(path: str):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(1)
+def _added(path: str) -> re.Pattern:
+    """The tokens that the vocabulary file adds and finds in texts before any pattern."""
+    return re.compile("|".join(re.escape(t.content) for t in _library(path).get_added_tokens_decoder().values()) or "(?!)")
 
 
 @lru_cache(1)
@@ -56,12 +60,14 @@ def encode(text: str | None) -> np.ndarray:
     """Ids of a text without special tokens; a null text is empty.
 
     The rank file holds the same vocabulary and gives the same ids about four times as fast, so it
-    encodes what is surely split the same way; all other texts are encoded by the vocabulary file.
+    encodes what is surely split the same way; all other texts are encoded by the vocabulary file, also
+    those that hold a token it adds, which is one id there and unknown to the rank file.
     """
     if not text:
         return np.empty(0, np.uint32)
-    if OTHER.search(text):
-        encoder = _library(public_tokenizers.path(VOCABULARY))
+    vocabulary = public_tokenizers.path(VOCABULARY)
+    if OTHER.search(text) or _added(vocabulary).search(text):
+        encoder = _library(vocabulary)
         found = [encoder.encode(part, add_special_tokens=False).ids for part in parts(text)]
     else:
         encoder = _ranks(public_tokenizers.path(RANKS))

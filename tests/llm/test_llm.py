@@ -273,6 +273,16 @@ def test_token_ids_equal_the_vocabulary_file(spark):
         assert tokens.encode(text).tolist() == reference_ids(text)
 
 
+def test_added_tokens_are_found_as_by_the_plain_vocabulary_file():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    for text in (f"page end {mark} next page", mark, f"a{mark}{mark}\n", f"漢字 {mark} x", "<|endoftext| >", f"x {mark} " * 99):
+        assert tokens.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert tokens.encode(f"page end {mark} next page").tolist().count(50256) == 1
+
+
 def test_long_texts_are_cut_between_words(monkeypatch):
     text = "some words with spaces, and more of them. " * 50
     whole_ids = tokens.encode(text).tolist()

@@ -68,7 +68,7 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.maintain(table(spark, sf_dir, "documents"), scratch_path(spark, "rollup"))
+    return rollup.maintain(table(spark, sf_dir, "documents"), scratch_path(spark, "rollup"), restore=True)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

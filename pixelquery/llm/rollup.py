@@ -79,14 +79,16 @@ def counted(docs: DataFrame, text: str = "text", source: str = "source", lang: s
     return cut_lineage(columns.mapInArrow(rows, fields), "counted")
 
 
-def maintain(docs: DataFrame, root: str) -> DataFrame:
+def maintain(docs: DataFrame, root: str, restore: bool = False) -> DataFrame:
     """Totals of a corpus after its history of batches (see the steps below), kept under ``root``.
 
     1. ``load`` inserts every document with its words, and with a quarter of its characters as a
        provisional number of subword tokens;
     2. ``recount`` revises every provisional number to the count of the subword vocabulary;
     3. ``withdraw`` deletes the documents without any word;
-    4. ``load`` is delivered once more and changes nothing.
+    4. with ``restore``, ``return`` inserts them again with their counts, so that the totals are those of
+       all documents, also of sources that have no words;
+    5. ``load`` is delivered once more and changes nothing.
 
     Null texts, sources and languages are allowed, rows may repeat, other columns are ignored, and an
     empty table gives no totals.
@@ -107,5 +109,8 @@ def maintain(docs: DataFrame, root: str) -> DataFrame:
     empty = counts.where("n_words = 0")
     gone = changes("delete", WORDS, F.col("n_words"), none, empty)
     commit(gone.union(changes("delete", BPE, F.col("n_ids"), none, empty)), root, "withdraw")
+    if restore:
+        back = changes("insert", WORDS, none, F.col("n_words"), empty)
+        commit(back.union(changes("insert", BPE, none, F.col("n_ids"), empty)), root, "return")
     commit(load, root, "load")
     return totals(docs.sparkSession, root)

@@ -336,6 +336,20 @@ def test_token_rollup(docs, none, tmp_path):
     assert rollup.maintain(none, str(tmp_path / "b")).count() == 0
 
 
+def test_registered_rollup_counts_all_documents(spark, tmp_path):
+    """As a group-by over the whole table, wordless texts and a source that has only those included."""
+    given = [*texts(), *[(i, t, "en", "blank", None, "same", "x", 7) for i, t in ((20, None), (21, ""), (22, " \t\n "))]]
+    spark.createDataFrame(given, FIELDS).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    want = {}
+    for _, t, lang, source, *_ in given:
+        for tokenizer, n in (("words-1", len(words(t))), ("byte_bpe_50k", len(reference_ids(t)))):
+            documents, total = want.get((source, lang, tokenizer), (0, 0))
+            want[source, lang, tokenizer] = documents + 1, total + n
+    got = QUERIES["op8_token_counts"](spark, str(tmp_path)).collect()
+    assert {(r.source, r.lang, r.tokenizer): (r.documents, r.tokens) for r in got} == want and len(got) == len(want)
+    assert want["blank", "en", "words-1"] == (3, 0) and want["blank", "en", "byte_bpe_50k"][1] > 0
+
+
 def test_rollup_batches_count_once(spark, tmp_path):
     fields = "source STRING, lang STRING, tokenizer STRING, kind STRING, old_tokens BIGINT, new_tokens BIGINT"
     first = [("s", None, "t", "insert", None, 10), ("s", None, "t", "insert", None, 5), ("u", "en", "t", "insert", None, 1)]

@@ -40,9 +40,9 @@ def commit(changes: DataFrame, root: str, batch: str) -> None:
     The batch's sums are written under its name, then a marker.  Only marked batches count, so a batch
     whose job died in between counts for nothing until it is committed again; committing a batch twice
     replaces it by itself.  Sums are made in the tasks before they are shuffled, so a source with most
-    of the rows is one row for each task.
+    of the rows is one row for each task; many keys are added up and written in many tasks.
     """
-    signed(changes).coalesce(1).write.mode("overwrite").parquet(f"{root}/deltas/batch={batch}")
+    signed(changes).write.mode("overwrite").parquet(f"{root}/deltas/batch={batch}")
     marker = changes.sparkSession.range(1).select(F.lit(batch).alias("committed"))
     marker.coalesce(1).write.mode("overwrite").parquet(f"{root}/commits/{batch}")
 

@@ -350,6 +350,18 @@ def test_registered_rollup_counts_all_documents(spark, tmp_path):
     assert want["blank", "en", "words-1"] == (3, 0) and want["blank", "en", "byte_bpe_50k"][1] > 0
 
 
+def test_sums_of_a_batch_stay_in_many_tasks(spark, tmp_path):
+    keys = "concat('site', id) AS source", "'en' AS lang", "'t' AS tokenizer", "'insert' AS kind"
+    changes = spark.range(400).selectExpr(*keys, "0L AS old_tokens", "id AS new_tokens")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rollup.commit(changes, str(tmp_path), "load")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "deltas" / "batch=load").glob("*.parquet"))) > 1
+    assert rollup.totals(spark, str(tmp_path)).count() == 400
+
+
 def test_rollup_batches_count_once(spark, tmp_path):
     fields = "source STRING, lang STRING, tokenizer STRING, kind STRING, old_tokens BIGINT, new_tokens BIGINT"
     first = [("s", None, "t", "insert", None, 10), ("s", None, "t", "insert", None, 5), ("u", "en", "t", "insert", None, 1)]

@@ -12,6 +12,7 @@ from pixelquery.llm import (
     lattice,
     mixing,
     packing,
+    pii,
     quality,
     rollup,
     substring,
@@ -92,6 +93,21 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[number(kind) for kind, *_ in pii.BASE],
+        F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 EXACT_DEDUP_SQL = r"""
 WITH t AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
@@ -165,6 +181,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_lattice_score": op9_lattice_score,
     "op10_url_filter": op10_url_filter,
+    "op12_pii": op12_pii,
 }
 
 ORACLES = {

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from pixelquery.llm.text import fresh, whole
+from pixelquery.llm.text import whole
 
 #: Spans with equal starts are listed in this order.
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "tel")
@@ -171,8 +171,8 @@ def with_spans(docs: DataFrame, text: str = "text", least: float = 0.6, spans: s
     gives no rows.  Texts are read one at a time inside the tasks that scan them; nothing is shuffled.
     """
     kept = [c for c in docs.columns if c.lower() != spans.lower()]
-    held = fresh(docs, "_text")
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], whole(f"`{text}`").alias(held))
+    columns = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]  # names with dots go by number
+    source = docs.select(*columns, whole(f"`{text}`").alias("body"))
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,7 +207,7 @@ def masked(docs: DataFrame, text: str = "text", least: float = 0.6) -> DataFrame
             columns[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, kept)
 
-    return docs.mapInArrow(rows, docs.schema)
+    return docs.toDF(*[f"c{i}" for i in range(len(kept))]).mapInArrow(rows, docs.schema)
 
 
 def listed(spans: Column) -> Column:

@@ -15,6 +15,7 @@ from pixelquery.llm import (
     pii,
     quality,
     rollup,
+    source_audit,
     substring,
     url_filter,
 )
@@ -93,6 +94,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"), least=3, top=200)
+
+
 def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["base"])
@@ -170,6 +175,37 @@ named AS (
 SELECT page_id, host, path, best['r'] AS rule, coalesce(best['v'], 'allow') AS verdict FROM named
 """
 
+SOURCE_AUDIT_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS uid,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+t AS (SELECT lang, source, uid, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM t GROUP BY ALL HAVING count(DISTINCT uid) >= 3),
+l AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS cnt FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(sum(cnt), 0) AS n
+      FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+dense AS MATERIALIZED (
+  SELECT g.lang, g.source, term, coalesce(cnt, 0) AS cnt,
+         1 + (CAST(1000000000 AS HUGEINT) * (coalesce(cnt, 0) + 1)) // CAST(g.n + l.v AS HUGEINT) AS p,
+         1 + (CAST(1000000000 AS HUGEINT) * (total + 1)) // CAST(l.n + l.v AS HUGEINT) AS q
+  FROM g JOIN l USING (lang) JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+rows_ AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM dense WHERE cnt > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows_)
+WHERE part = 'pair' OR rank <= 200
+"""
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
@@ -181,6 +217,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_lattice_score": op9_lattice_score,
     "op10_url_filter": op10_url_filter,
+    "op11_source_audit": op11_source_audit,
     "op12_pii": op12_pii,
 }
 
@@ -188,4 +225,5 @@ ORACLES = {
     "op6_exact_dedup": EXACT_DEDUP_SQL,
     "op7_mixing": MIXING_SQL,
     "op10_url_filter": URL_FILTER_SQL,
+    "op11_source_audit": SOURCE_AUDIT_SQL,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixelquery.llm import (
+    collocations,
     divergence,
     exact_dedup,
     jaccard,
@@ -113,6 +114,10 @@ def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
 EXACT_DEDUP_SQL = r"""
 WITH t AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
@@ -206,6 +211,36 @@ FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY valu
 WHERE part = 'pair' OR rank <= 200
 """
 
+COLLOCATIONS_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest([array_to_string(ws[i:i + k - 1], ' ') FOR i IN range(1, len(ws) - k + 2)]) AS phrase
+  FROM w, (VALUES (1), (2), (3), (4), (5)) AS lengths(k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cand AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, f AS a FROM f WHERE k > 1),
+inside AS (
+  SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS most
+  FROM cand, range(1, 6) AS starts(i), range(2, 5) AS lengths(m) WHERE m < k AND i + m - 1 <= k GROUP BY ALL),
+kept AS (
+  SELECT c.* FROM cand c LEFT JOIN inside i USING (lang, phrase) WHERE most IS NULL OR 100 * most < 100 * c.a),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM kept),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, cut, x.f AS l, y.f AS r, n.n,
+         (CAST(1000 AS HUGEINT) * c.a * n.n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:cut], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[cut + 1:c.k], ' ') JOIN n ON n.lang = c.lang),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+WHERE rank <= 2000
+"""
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
@@ -219,6 +254,7 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
     "op11_source_audit": op11_source_audit,
     "op12_pii": op12_pii,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES = {
@@ -226,4 +262,5 @@ ORACLES = {
     "op7_mixing": MIXING_SQL,
     "op10_url_filter": URL_FILTER_SQL,
     "op11_source_audit": SOURCE_AUDIT_SQL,
+    "op13_collocations": COLLOCATIONS_SQL,
 }

@@ -1,29 +1,22 @@
-"""Training and scoring of land-cover classifiers on Spark MLlib (ML1-8, WIN7)."""
+"""Training and scoring of land-cover classifiers (ML1-8, WIN7)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    OneVsRest,
-    OneVsRestModel,
-    RandomForestClassifier,
-)
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pixelquery.operators import ensembles
+from pixelquery.operators.ensembles import Boosting, Forest, TreeModel
 from pixelquery.operators.metrics import overall_scores, pair_counts
-from pixelquery.operators.stats import balanced_weights
 from pixelquery.schema import BAND_NAMES, RANDOM_STATE
 from pixelquery.session import cut_lineage, discard
 
 RANDOM_FOREST = "Random Forest"
 GRADIENT_BOOSTING = "Gradient Boosting"
 LABEL = "label"
-WEIGHT = "weight"
 
 
 # labels and split ---------------------------------------------------------------------------
@@ -118,69 +111,36 @@ def fit_scaler(train: DataFrame, features: Sequence[str] = tuple(BAND_NAMES)) ->
     return SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__")
 
 
-def _front(train: DataFrame, features: Sequence[str]):
-    scaler = fit_scaler(train, features)
-    assembler = VectorAssembler(inputCols=[f"z_{f}" for f in features], outputCol="features")
-    return [scaler, assembler]
-
-
 # models -------------------------------------------------------------------------------------
-def random_forest(trees: int = 200, depth: int = 20, seed: int = RANDOM_STATE, **params):
-    return RandomForestClassifier(
-        labelCol=LABEL,
-        weightCol=WEIGHT,
-        numTrees=trees,
-        maxDepth=depth,
-        minInstancesPerNode=5,
-        featureSubsetStrategy="sqrt",
-        maxBins=255,
-        maxMemoryInMB=1024,
-        seed=seed,
-        **params,
-    )
+def random_forest(trees: int = 200, depth: int = 20, seed: int = RANDOM_STATE) -> Forest:
+    return Forest(trees=trees, depth=depth, seed=seed)
 
 
-def gradient_boosting(iterations: int = 200, depth: int = 6, seed: int = RANDOM_STATE, **params):
-    """One boosted binary ensemble per class; MLlib's boosting is binary only."""
-    booster = GBTClassifier(
-        maxIter=iterations,
-        stepSize=0.1,
-        maxDepth=depth,
-        minInstancesPerNode=20,
-        maxBins=255,
-        maxMemoryInMB=1024,
-        seed=seed,
-        **params,
-    )
-    return OneVsRest(classifier=booster, labelCol=LABEL, weightCol=WEIGHT, parallelism=2)
+def gradient_boosting(iterations: int = 200, depth: int = 6, seed: int = RANDOM_STATE) -> Boosting:
+    return Boosting(rounds=iterations, depth=depth, seed=seed)
 
 
 def fit(
     train: DataFrame,
-    estimator,
+    estimator: Forest | Boosting,
     features: Sequence[str] = tuple(BAND_NAMES),
     keys: Sequence[str] = ("row", "col"),
-    parts: int = 64,
-) -> PipelineModel:
-    """Scale, weight the classes equally and fit; the result is one persistable model.
+) -> TreeModel:
+    """Fit an ensemble with equally weighted classes; the result can be saved.
 
-    The rows are evaluated once and stored.  Tree growth passes over them once per level, so they are
-    dealt by a hash of their keys into ``parts`` partitions: how many is a matter of the labelled rows,
-    not of the cluster, and one seed gives one model.
+    The rows are evaluated once and stored.  Bands are not scaled first: cuts between quantiles are the
+    same cuts after any scaling (``fit_scaler`` is there for other models).
     """
     stored = cut_lineage(train, "fitting")
-    weighted = balanced_weights(stored.repartition(parts, *keys), LABEL)
-    model = Pipeline(stages=[*_front(stored, features), estimator]).fit(weighted)
+    model = ensembles.fit(stored, estimator, features, LABEL, keys)
     discard(stored)
     return model
 
 
-def feature_importances(model: PipelineModel, features: Sequence[str]) -> dict[str, float]:
-    """Importance by feature name; of one ensemble per class, the mean of theirs."""
-    last = model.stages[-1]
-    ensembles = last.models if isinstance(last, OneVsRestModel) else [last]
-    shares = sum(e.featureImportances.toArray() for e in ensembles) / len(ensembles)
-    return dict(zip(features, shares.tolist(), strict=True))
+def feature_importances(model: TreeModel, features: Sequence[str]) -> dict[str, float]:
+    """Importance by feature name."""
+    shares = model.importances()
+    return {f: shares[f] for f in features}
 
 
 def importance_table(spark, rf: dict[str, float], gb: dict[str, float]) -> DataFrame:
@@ -190,7 +150,7 @@ def importance_table(spark, rf: dict[str, float], gb: dict[str, float]) -> DataF
 
 
 def score(
-    model: PipelineModel, stack: DataFrame, features: Sequence[str] = tuple(BAND_NAMES)
+    model: TreeModel, stack: DataFrame, features: Sequence[str] = tuple(BAND_NAMES)
 ) -> DataFrame:
     """Class of every pixel whose bands are all valid; the others keep a NULL class.
 
@@ -210,7 +170,7 @@ def score(
     )
 
 
-def evaluate(models: dict[str, PipelineModel], data: DataFrame) -> DataFrame:
+def evaluate(models: dict[str, TreeModel], data: DataFrame) -> DataFrame:
     """Accuracy, weighted F1 and kappa, one row per model."""
     pairs = None
     for name, model in models.items():

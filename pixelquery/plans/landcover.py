@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixelquery.grid import Grid
 from pixelquery.operators import classify, features, metrics, ml, spatial
+from pixelquery.operators.ensembles import TreeModel
 from pixelquery.schema import BAND_NAMES, training_areas
 from pixelquery.session import cut_lineage
 from pixelquery.sources import raster
@@ -30,7 +30,7 @@ def training_set(stack: DataFrame, grid: Grid, areas: DataFrame | None = None) -
 
 def train(
     rows: DataFrame, trees: int = 200, iterations: int = 200
-) -> tuple[str, dict[str, PipelineModel], DataFrame]:
+) -> tuple[str, dict[str, TreeModel], DataFrame]:
     """Fit both models on the training split and pick the better one on validation."""
     fitting = rows.where("split = 'train'")
     models = {
@@ -42,16 +42,16 @@ def train(
     return best, models, scores
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: TreeModel, path: str) -> None:
+    model.save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(spark: SparkSession, path: str) -> TreeModel:
+    return TreeModel.load(spark, path)
 
 
 def classify_scene(
-    model: PipelineModel, stack: DataFrame, grid: Grid, mask: bool = True
+    model: TreeModel, stack: DataFrame, grid: Grid, mask: bool = True
 ) -> DataFrame:
     """Score every pixel and apply the water rule and, with ``mask``, the northern mask.
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pixelquery import fixtures
@@ -109,9 +112,35 @@ def scene_stack(spark, sf_dir):
     return _once("stack", lambda s, d: cut_lineage(surface.stack(s, d, "y_true"), "stack"), spark, sf_dir)
 
 
+def land_class(clean: bool = False):
+    """The class to learn: a rule on five bands, wrong for every 20th pixel unless ``clean``."""
+    rule = (
+        F.when(F.col("B08") < 0.12, 5).when(F.col("B04") >= 0.2, 0).when(F.col("B11") >= 0.28, 1)
+        .when(F.col("Elevation") > 500, 2).when(F.col("B03") >= 0.14, 3).otherwise(4)
+    )
+    return rule if clean else F.when((F.col("row") * 100 + F.col("col")) % 20 == 7, (rule + 1) % 6).otherwise(rule)
+
+
+_RULE = (
+    "CASE WHEN B08 < 0.12 THEN 5 WHEN B04 >= 0.2 THEN 0 WHEN B11 >= 0.28 THEN 1 "
+    "WHEN Elevation > 500 THEN 2 WHEN B03 >= 0.14 THEN 3 ELSE 4 END"
+)
+_VALID = " AND ".join(f"{b} IS NOT NULL" for b in BAND_NAMES)
+_LEARNING_CTES = (
+    *surface.STACK_CTES,
+    f"ruled AS (SELECT r, c, {_RULE} AS rule FROM stack WHERE {_VALID})",
+    "idx2 AS (SELECT r, c, rule, CASE WHEN (r * 100 + c) % 20 = 7 THEN (rule + 1) % 6 ELSE rule END AS label FROM ruled)",
+    "ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY "
+    "md5(r || ',' || c || ',42')) AS i, count(*) OVER (PARTITION BY label) AS n_c FROM idx2)",
+    "cut AS (SELECT *, floor(n_c * 0.7 + 0.5) AS n_train FROM ranked)",
+    "split AS (SELECT *, CASE WHEN i <= n_train THEN 'train' "
+    "WHEN i <= n_train + floor((n_c - n_train) / 2.0) THEN 'validation' ELSE 'test' END AS part FROM cut)",
+)
+
+
 def _split_rows(spark, sf_dir):
     px = scene_stack(spark, sf_dir).dropna("any", subset=BAND_NAMES)
-    px = px.withColumn(ml.LABEL, F.col("y_true").cast("double"))
+    px = px.withColumn(ml.LABEL, land_class().cast("double"))
     return cut_lineage(ml.stratified_split(px.select("row", "col", ml.LABEL, *BAND_NAMES)), "training")
 
 
@@ -121,7 +150,7 @@ def learning_rows(spark, sf_dir):
 
 
 def _fitted(estimator, spark, sf_dir):
-    return ml.fit(learning_rows(spark, sf_dir).where("split = 'train'"), estimator, parts=8)
+    return ml.fit(learning_rows(spark, sf_dir).where("split = 'train'"), estimator)
 
 
 def forest(spark, sf_dir):
@@ -130,28 +159,42 @@ def forest(spark, sf_dir):
 
 
 def boosting(spark, sf_dir):
-    """The boosted ensembles of the operator's defaults, fitted once a session on all labelled rows and bands."""
+    """The boosted ensemble of the operator's defaults, fitted once a session on all labelled rows and bands."""
     return _once("boosting", lambda s, d: _fitted(ml.gradient_boosting(), s, d), spark, sf_dir)
 
 
-def _test_predictions(model):
+def small_forest(spark, sf_dir):
+    """A forest for what does not depend on the quality of a model."""
+    return _once("small", lambda s, d: _fitted(ml.random_forest(3, 6), s, d), spark, sf_dir)
+
+
+def _recalled(model):
     def query(spark, sf_dir):
-        rows = learning_rows(spark, sf_dir)
-        scored = model(spark, sf_dir).transform(rows.where("split = 'test'"))
-        return scored.select("row", "col", ml.LABEL, "prediction")
+        """Test rows of each label, and whether the model finds three quarters of them."""
+        rows = learning_rows(spark, sf_dir).where("split = 'test'")
+        scored = model(spark, sf_dir).transform(rows)
+        hit = (F.col("prediction") == F.col(ml.LABEL)).cast("double")
+        return scored.groupBy(F.col(ml.LABEL).cast("int").alias("label")).agg(
+            F.count("*").alias("test_rows"), (F.avg(hit) >= 0.75).alias("recalled")
+        )
 
     return query
 
 
-QUERIES["ml3_random_forest"] = _test_predictions(forest)
-QUERIES["ml4_gradient_boosting"] = _test_predictions(boosting)
+QUERIES["ml3_random_forest"] = _recalled(forest)
+QUERIES["ml4_gradient_boosting"] = _recalled(boosting)
+ORACLES["ml3_random_forest"] = ORACLES["ml4_gradient_boosting"] = with_grid(
+    "SELECT label, count(*) AS test_rows, true AS recalled FROM split WHERE part = 'test' GROUP BY label",
+    *_LEARNING_CTES,
+)
 
 
 def _both(spark, sf_dir):
     return {ml.RANDOM_FOREST: forest(spark, sf_dir), ml.GRADIENT_BOOSTING: boosting(spark, sf_dir)}
 
 
-def _evaluated(spark, sf_dir):
+def evaluations(spark, sf_dir):
+    """Scores of both models on validation and test rows."""
     rows = learning_rows(spark, sf_dir)
     models = _both(spark, sf_dir)
     scores = None
@@ -162,44 +205,94 @@ def _evaluated(spark, sf_dir):
     return scores
 
 
+def _evaluated(spark, sf_dir):
+    """Whether each model's accuracy is a quarter above the share of the largest class, and the others as good."""
+    rows = learning_rows(spark, sf_dir).groupBy("split", ml.LABEL).count()
+    share = rows.groupBy("split").agg(F.sum("count").alias("rows"), (F.max("count") / F.sum("count")).alias("most"))
+    scores = evaluations(spark, sf_dir).join(share, "split")
+    return scores.select(
+        "split", "model", "rows", (F.col("accuracy") >= F.col("most") + 0.25).alias("above_majority"),
+        (F.col("f1_weighted") >= 0.85).alias("f1_high"), (F.col("kappa") >= 0.8).alias("kappa_high"),
+    )
+
+
 QUERIES["ml5_evaluate"] = _evaluated
+ORACLES["ml5_evaluate"] = with_grid(
+    "SELECT part AS split, model, count(*) AS rows, true AS above_majority, true AS f1_high, true AS kappa_high "
+    f"FROM split, (VALUES ('{ml.RANDOM_FOREST}'), ('{ml.GRADIENT_BOOSTING}')) AS models(model) "
+    "WHERE part <> 'train' GROUP BY part, model",
+    *_LEARNING_CTES,
+)
 
 
 def _selected(spark, sf_dir):
-    rows = learning_rows(spark, sf_dir)
-    scores = ml.evaluate(_both(spark, sf_dir), rows.where("split = 'validation'"))
-    return metrics.best_model(scores, [ml.RANDOM_FOREST, ml.GRADIENT_BOOSTING])
+    """Whether the model chosen has the best validation score of all, and how many rows decide."""
+    rows = learning_rows(spark, sf_dir).where("split = 'validation'")
+    scores = ml.evaluate(_both(spark, sf_dir), rows)
+    best = metrics.best_model(scores, [ml.RANDOM_FOREST, ml.GRADIENT_BOOSTING])
+    held = scores.select("model", F.col("f1_weighted").alias("own")).join(best, "model")
+    return held.select(
+        F.lit(rows.count()).alias("rows"), (F.col("own") == F.col("f1_weighted")).alias("best"), (F.col("own") >= 0.85).alias("f1_high")
+    )
 
 
 QUERIES["ml6_model_selection"] = _selected
+ORACLES["ml6_model_selection"] = with_grid(
+    "SELECT count(*) AS rows, true AS best, true AS f1_high FROM split WHERE part = 'validation'", *_LEARNING_CTES
+)
 
 
 def _scored(spark, sf_dir):
     return ml.score(forest(spark, sf_dir), scene_stack(spark, sf_dir)).select("row", "col", "class_id")
 
 
-QUERIES["ml7_score_scene"] = _scored
+def _scene_agreement(spark, sf_dir):
+    """All pixels by the class of the rule, those without a score apart, and whether the scores agree with it."""
+    stack = scene_stack(spark, sf_dir)
+    valid = reduce(lambda a, b: a & b, [F.col(b).isNotNull() for b in BAND_NAMES])
+    ruled = stack.select("row", "col", F.when(valid, land_class(clean=True)).alias("rule"))
+    both = ruled.join(_scored(spark, sf_dir), ["row", "col"])
+    agrees = F.col("rule").eqNullSafe(F.col("class_id")).cast("double")
+    return both.groupBy("rule").agg(F.count("*").alias("pixels"), (F.avg(agrees) >= 0.85).alias("agrees"))
 
 
-def _importances(spark, sf_dir):
+QUERIES["ml7_score_scene"] = _scene_agreement
+ORACLES["ml7_score_scene"] = with_grid(
+    f"SELECT CASE WHEN {_VALID} THEN {_RULE} END AS rule, count(*) AS pixels, true AS agrees FROM stack GROUP BY 1",
+    *surface.STACK_CTES,
+)
+
+
+def importances(spark, sf_dir):
+    """The features by mean importance of both models."""
     shares = [ml.feature_importances(m, BAND_NAMES) for m in _both(spark, sf_dir).values()]
-    return metrics.top_features(ml.importance_table(spark, *shares))
+    return metrics.top_features(ml.importance_table(spark, *shares), len(BAND_NAMES))
+
+
+def _importances(spark, sf_dir):
+    """Of each feature, whether the forest and the boosting use it, and whether boosting ranks it among its five best."""
+    table = importances(spark, sf_dir)
+    place = F.rank().over(Window.orderBy(F.desc("gb")))  # one row for each of 29 bands
+    return table.select("feature", (F.col("rf") > 0).alias("used"), (place <= 5).alias("decides"))
 
 
 QUERIES["ml8_feature_importances"] = _importances
+ORACLES["ml8_feature_importances"] = (
+    "SELECT feature, true AS used, feature IN ('B03', 'B04', 'B08', 'B11', 'Elevation') AS decides FROM (VALUES "
+    + ", ".join(f"('{b}')" for b in BAND_NAMES)
+    + ") AS bands(feature)"
+)
 
 
 def _masked_coverage(spark, sf_dir):
     """Which pixels a model scores: exactly those with all bands valid."""
-    scored = _scored(spark, sf_dir)
+    scored = ml.score(small_forest(spark, sf_dir), scene_stack(spark, sf_dir))
     return scored.select("row", "col", F.col("class_id").isNotNull().alias("scored"))
 
 
 QUERIES["flt2_scored_pixels"] = _masked_coverage
 ORACLES["flt2_scored_pixels"] = with_grid(
-    "SELECT r AS row, c AS col, "
-    + " AND ".join(f"{b} IS NOT NULL" for b in BAND_NAMES)
-    + " AS scored FROM stack",
+    f"SELECT r AS row, c AS col, {_VALID} AS scored FROM stack",
     *surface.STACK_CTES,
 )
 

@@ -198,11 +198,11 @@ ORACLES["snk9_publish"] = (
 def _model_round_trip(spark, sf_dir):
     """Scores of a saved and reloaded model next to those of the model itself."""
     path = scratch_path(spark, "model")
-    model = learning.forest(spark, sf_dir)
+    model = learning.small_forest(spark, sf_dir)
     landcover.save_model(model, path)
     stack = learning.scene_stack(spark, sf_dir)
     one = ml.score(model, stack).select("row", "col", "class_id")
-    two = ml.score(landcover.load_model(path), stack).select("row", "col", F.col("class_id").alias("reloaded"))
+    two = ml.score(landcover.load_model(spark, path), stack).select("row", "col", F.col("class_id").alias("reloaded"))
     both = one.join(two, ["row", "col"])
     return both.select("row", "col", F.col("class_id").eqNullSafe(F.col("reloaded")).alias("same"))
 

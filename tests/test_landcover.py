@@ -34,7 +34,7 @@ def test_train_and_classify(spark, scene, tmp_path):
 
     model = models[ml.RANDOM_FOREST]
     landcover.save_model(model, str(tmp_path / "model"))
-    model = landcover.load_model(str(tmp_path / "model"))
+    model = landcover.load_model(spark, str(tmp_path / "model"))
     pred = landcover.classify_scene(model, stack, grid)
     assert exchanges(pred) == 0  # scoring and both rules stay in the scan stage
     path = str(tmp_path / "classes")

@@ -1,17 +1,149 @@
-"""The registered queries fit the whole ensembles."""
+"""Tree ensembles: cuts against trying all, the same trees however dealt, scores against walking the nodes."""
 
-from pixelquery.operators import ml
+import numpy as np
+import pytest
+from pixelquery.operators import ensembles, ml
+from pixelquery.operators.ensembles import Boosting, Forest, TreeModel
 from pixelquery.queries import learning
+from pyspark.sql import functions as F
 
+BANDS = ["a", "b", "c", "d"]
 
-def test_queries_fit_the_default_ensembles(spark, monkeypatch):
-    taken = []
-    monkeypatch.setattr(learning, "learning_rows", lambda *a: spark.range(1).selectExpr("id", "'train' AS split"))
-    monkeypatch.setattr(ml, "fit", lambda rows, estimator, **parts: taken.append(estimator))
-    monkeypatch.setattr(learning, "_MADE", {})
-    learning.forest(spark, "none")
-    learning.boosting(spark, "none")
-    forest, boosting = taken[0], taken[1].getClassifier()
-    assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMinInstancesPerNode()) == (200, 20, 5)
-    assert (boosting.getMaxIter(), boosting.getMaxDepth(), boosting.getMinInstancesPerNode()) == (200, 6, 20)
-    assert (forest.getSubsamplingRate(), boosting.getSubsamplingRate()) == (1.0, 1.0)
+
+def made(n=600, seed=1):
+    draw = np.random.default_rng(seed)
+    x = draw.random((n, 4)).round(3)
+    label = np.where(x[:, 1] > 0.6, 2, np.where(x[:, 0] + 0.1 * x[:, 3] > 0.5, 1, 0))
+    label = np.where(draw.random(n) < 0.05, (label + 1) % 3, label)
+    return x, label
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    x, label = made()
+    data = [(i, *map(float, v), float(k)) for i, (v, k) in enumerate(zip(x, label))]
+    df = spark.createDataFrame(data, "key BIGINT, a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE, label DOUBLE")
+    return df.union(df.limit(1).select("key", F.lit(None), "b", "c", "d", "label")).repartition(4).cache()
+
+
+def fit(rows, plan):
+    return ensembles.fit(rows, plan, BANDS, "label", ["key"])
+
+
+def trees_of(model):
+    return sorted(map(tuple, model.trees.collect()))
+
+
+def test_defaults_are_the_whole_ensembles():
+    forest, boosting = ml.random_forest(), ml.gradient_boosting()
+    assert (forest.trees, forest.depth, forest.least_rows) == (200, 20, 5)
+    assert (boosting.rounds, boosting.depth, boosting.least_rows, boosting.rate) == (200, 6, 20, 0.1)
+
+
+def test_root_of_a_forest_tree_is_the_best_of_all_cuts():
+    x, label = made(300)
+    codes = (x * 250).astype(np.uint8)
+    weight = ensembles.balanced(label, 3)
+    plan = Forest(trees=1, depth=1, least_rows=5)
+    for seed in range(8):
+        tree = ensembles.grow_forest_tree(codes, label, weight, 3, plan, np.random.default_rng(seed))
+        draw = np.random.default_rng(seed)
+        times = np.bincount(draw.integers(0, 300, 300), minlength=300)
+        tried = np.argpartition(draw.random((1, 4)), 2, axis=1)[0, :2]
+        held = times > 0
+
+        def purity(part):
+            sums = np.bincount(label[part], (times * weight)[part], 3)
+            return (sums**2).sum() / sums.sum()
+
+        options = [
+            (purity(held & (codes[:, f] <= c)) + purity(held & (codes[:, f] > c)), f, c)
+            for f in tried
+            for c in range(256)
+            if min((held & (codes[:, f] <= c)).sum(), (held & (codes[:, f] > c)).sum()) >= 5
+        ]
+        best = max(options)[0]
+        chosen = [v for v, f, c in options if (f, c) == (tree.feature[0], tree.cut[0])]
+        assert chosen and chosen[0] == pytest.approx(best)
+
+
+def test_first_boosted_cut_is_the_best_of_all_cuts():
+    x, label = made(300)
+    codes = (x * 250).astype(np.uint8)
+    slope, bend = 1 / 3 - (label == 1), np.full(300, 2 / 9)
+    tree, leaf = ensembles.grow_boosted_tree(codes.T.copy(), np.arange(300), slope, bend, Boosting(depth=3))
+
+    def gain(part):
+        return slope[part].sum() ** 2 / bend[part].sum()
+
+    options = {
+        (f, c): gain(codes[:, f] <= c) + gain(codes[:, f] > c)
+        for f in range(4) for c in range(256) if 20 <= (codes[:, f] <= c).sum() <= 280
+    }
+    assert options[tree.feature[0], tree.cut[0]] == pytest.approx(max(options.values()))
+    assert np.array_equal(tree.leaves(codes, 4), leaf)
+    for node in np.unique(leaf):
+        held = leaf == node
+        assert held.sum() >= 20
+        assert tree.value[node] == pytest.approx(-0.1 * slope[held].sum() / bend[held].sum(), rel=1e-5)
+
+
+@pytest.mark.parametrize("plan", [Forest(trees=7, depth=6), Boosting(rounds=3, depth=3)])
+def test_trees_do_not_depend_on_partitions_or_tasks(rows, plan, monkeypatch):
+    once = fit(rows, plan)
+    monkeypatch.setattr(ensembles, "ALONE_ROWS", 0)  # boosting deals its classes over tasks that wait for each other
+    again = fit(rows.repartition(3, "b"), plan)
+    assert trees_of(once) == trees_of(again)
+
+
+@pytest.mark.parametrize("plan", [Forest(trees=15, depth=8), Boosting(rounds=15)])
+def test_scores(spark, rows, plan, monkeypatch, tmp_path):
+    model = fit(rows, plan)
+    scored = model.transform(rows.withColumn("prediction", F.lit("old")))
+    assert set(scored.columns) == {*rows.columns, "prediction"}
+    got = {(r.key, r.a): r for r in scored.collect()}
+    assert len(got) == 601 and sum(r.prediction is None for r in got.values()) == 1
+    hits = [r.prediction == r.label for r in got.values() if r.a is not None]
+    assert np.mean(hits) > 0.85
+    votes = {}
+    edges = [np.array(e) for e in model.about["edges"]]
+    for row in model.trees.collect():
+        tree = ensembles._tree(row)
+        for (key, a), r in got.items():
+            if a is None:
+                continue
+            codes = [int(np.searchsorted(e, r[band])) for e, band in zip(edges, BANDS)]
+            node = 0
+            while tree.child[node] != node:
+                node = tree.child[node] + (codes[tree.feature[node]] > tree.cut[node])
+            held = votes.setdefault(key, np.zeros(3))
+            if isinstance(plan, Forest):
+                held += tree.value.reshape(-1, 3)[node]
+            else:
+                held[row["class"]] += tree.value[node]
+    same = [np.sort(votes[k])[-2] > votes[k].max() - 1e-6 or votes[k].argmax() == r.prediction for (k, a), r in got.items() if a]
+    assert all(same)
+    model.save(str(tmp_path / "model"))
+    monkeypatch.setattr(ensembles, "MODEL_BYTES", 2000)  # sent in several parts
+    loaded = TreeModel.load(spark, str(tmp_path / "model"))
+    assert {(r.key, r.a): r.prediction for r in loaded.transform(rows).collect()} == {k: r.prediction for k, r in got.items()}
+    assert sum(model.importances().values()) == pytest.approx(1.0)
+    assert min(model.importances(), key=model.importances().get) in ("c", "d")
+
+
+def test_a_held_out_tenth_ends_the_rounds():
+    x, label = made(400)
+    label = np.random.default_rng(0).integers(0, 3, 400)  # nothing to learn
+    codes = (x * 250).astype(np.uint8)
+    weight = ensembles.balanced(label, 3)
+    plan = Boosting(rounds=100, stop_above=100, patience=3)
+    rounds = ensembles.boost(codes, label, weight, 3, plan, range(3), lambda trees: trees)
+    assert 3 <= len(rounds) < 60
+
+
+def test_registered_models_fit_for_real(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = {r.label: r for r in learning.QUERIES["ml3_random_forest"](spark, sf).collect()}
+    assert len(rows) == 6 and sum(r.recalled for r in rows.values()) >= 4
+    model = learning.forest(spark, sf)
+    assert model.trees.count() == 200

@@ -101,14 +101,19 @@ def packed(pieces: DataFrame, capacity: int) -> DataFrame:
          plan["sequence"].to_numpy(), plan["offset"].to_numpy())
     )
 
-    def place(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, ranks, sequences, offsets = runs.value
-        for frame in frames:
-            rank = frame.pop("rank").to_numpy()
-            at = np.searchsorted(keys, (frame["length"].to_numpy() << RANK_BITS) | rank, side="right") - 1
-            yield frame.assign(sequence_id=sequences[at] + rank - ranks[at], offset=offsets[at])
+    fields = pieces.columns
 
-    return sized.mapInPandas(place, PIECES + ", sequence_id BIGINT, offset BIGINT")
+    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, ranks, sequences, offsets = runs.value
+        for batch in batches:  # only lengths and ranks become numbers here, so ids and nulls stay as they are
+            rank, length = (batch.column(c).to_numpy() for c in ("rank", "length"))
+            at = np.searchsorted(keys, (length << RANK_BITS) | rank, side="right") - 1
+            more = [pa.array(sequences[at] + rank - ranks[at]), pa.array(offsets[at])]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in fields), *more], [*fields, "sequence_id", "offset"]
+            )
+
+    return sized.mapInArrow(place, PIECES + ", sequence_id BIGINT, offset BIGINT")
 
 
 def pack_documents(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -34,25 +35,42 @@ def signed(changes: DataFrame) -> DataFrame:
     )
 
 
-def commit(changes: DataFrame, root: str, batch: str) -> None:
-    """Add a batch to the rollup under ``root``.
+def committed(spark: SparkSession, root: str) -> DataFrame:
+    """``batch, attempt`` of every committed batch under ``root``."""
+    return spark.read.schema("batch STRING, attempt STRING").parquet(f"{root}/commits/*")
 
-    The batch's sums are written under its name, then a marker.  Only marked batches count, so a batch
-    whose job died in between counts for nothing until it is committed again; committing a batch twice
-    replaces it by itself.  Sums are made in the tasks before they are shuffled, so a source with most
-    of the rows is one row for each task; many keys are added up and written in many tasks.
+
+def commit(changes: DataFrame, root: str, batch: str) -> bool:
+    """Add a batch to the rollup under ``root``; whether it was added now.
+
+    A batch that is committed stays as it is, whatever is delivered under its name again.  Each attempt
+    writes its sums to a folder of its own, then a marker that names the attempt, in one file.  Sums count
+    only through a marker, so an attempt that dies at any point changes no total, and the batch can be
+    delivered again.  Two attempts at once may both write sums, but the folder of the marker is made by one
+    of them only.  Sums are made in the tasks before they are shuffled, so a source with most of the rows
+    is one row for each task; many keys are added up and written in many tasks.
     """
-    signed(changes).write.mode("overwrite").parquet(f"{root}/deltas/batch={batch}")
-    marker = changes.sparkSession.range(1).select(F.lit(batch).alias("committed"))
+    spark = changes.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/commits/{batch}")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    if files.exists(done):
+        return False
+    attempt = uuid.uuid4().hex
+    signed(changes).write.parquet(f"{root}/deltas/attempt={attempt}")
+    if files.exists(done):  # another attempt came first
+        return False
+    marker = spark.range(1).select(F.lit(batch).alias("batch"), F.lit(attempt).alias("attempt"))
+    # a folder without _SUCCESS is of an attempt that died while it wrote the marker
     marker.coalesce(1).write.mode("overwrite").parquet(f"{root}/commits/{batch}")
+    return True
 
 
 def totals(spark: SparkSession, root: str) -> DataFrame:
     """``source, lang, tokenizer, documents, tokens`` over all committed batches; empty keys are left out."""
-    fields = "source STRING, lang STRING, tokenizer STRING, documents BIGINT, tokens BIGINT, batch STRING"
+    fields = "source STRING, lang STRING, tokenizer STRING, documents BIGINT, tokens BIGINT, attempt STRING"
     deltas = spark.read.schema(fields).option("basePath", f"{root}/deltas").parquet(f"{root}/deltas")
-    marks = spark.read.schema("committed STRING").parquet(f"{root}/commits/*")
-    counted = deltas.join(marks, F.col("batch") == F.col("committed"), "left_semi").groupBy(*KEYS)
+    counted = deltas.join(committed(spark, root), "attempt", "left_semi").groupBy(*KEYS)
     sums = counted.agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
     return sums.where("documents <> 0 OR tokens <> 0")
 

@@ -358,7 +358,7 @@ def test_sums_of_a_batch_stay_in_many_tasks(spark, tmp_path):
         rollup.commit(changes, str(tmp_path), "load")
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert len(list((tmp_path / "deltas" / "batch=load").glob("*.parquet"))) > 1
+    assert len(list((tmp_path / "deltas").glob("attempt=*/*.parquet"))) > 1
     assert rollup.totals(spark, str(tmp_path)).count() == 400
 
 
@@ -369,7 +369,7 @@ def test_rollup_batches_count_once(spark, tmp_path):
     root = str(tmp_path)
     for batch, data in (("1", first), ("2", second), ("1", first)):
         rollup.commit(spark.createDataFrame(data, fields), root, batch)
-    rollup.signed(spark.createDataFrame(first, fields)).write.parquet(f"{root}/deltas/batch=3")  # no marker
+    rollup.signed(spark.createDataFrame(first, fields)).write.parquet(f"{root}/deltas/attempt=3")  # no marker
     assert rows(rollup.totals(spark, root), "source", "lang", "tokenizer", "documents", "tokens") == [("s", None, "t", 1, 12)]
 
 

@@ -26,15 +26,17 @@ def digest(expression: Column) -> Column:
     return F.sha2(expression.cast("binary"), 256)
 
 
-def expressions(host: Column, path: Column, lengths: list[int]) -> Column:
-    """Every host suffix on a label border, with every path prefix that has the length of a rule's path."""
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
-    )
-    held = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length(path))
-    prefixes = F.transform(held, lambda n: F.substring(path, F.lit(1), n))
+def labels_of(host: Column) -> Column:
+    """How many labels a host has."""
+    return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+
+
+def expressions(host: Column, path: Column, labels: list[int], lengths: list[int]) -> Column:
+    """Every host suffix and path prefix that is as long as a rule's: in labels, and in characters."""
+    held = F.filter(F.array(*map(F.lit, labels)), lambda n: n <= labels_of(host))
+    suffixes = F.transform(held, lambda n: F.call_function("substring_index", host, F.lit("."), -n))
+    short = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length(path))
+    prefixes = F.transform(short, lambda n: F.substring(path, F.lit(1), n))
     return F.flatten(
         F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.struct(s.alias("h"), p.alias("p"))))
     )
@@ -49,20 +51,21 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     block wins.  Without a fitting rule the verdict is ``default``.  A null url, or one without ``://``,
     has an empty host and path, which no rule with a host fits.  Repeated rows stay repeated; columns of
     ``pages`` may have any other names.  Empty tables are allowed on both sides.  The driver sees the
-    different lengths of rule paths: at most as many as the longest path has characters.
+    different lengths of rule paths and numbers of labels of rule hosts; hosts of urls may be of any length.
 
     Each different url is expanded once; expressions meet rules by the first digits of their SHA-256
     digests, full digests confirm, and one row per matched url goes back to the pages.
     """
     known = rules.select("host", "path", "verdict").where("host IS NOT NULL AND path IS NOT NULL")
     lengths = sorted(row[0] for row in known.select(F.length("path")).distinct().collect()) or [0]
+    labels = sorted(row[0] for row in known.select(labels_of(F.col("host"))).distinct().collect()) or [0]
     known = known.withColumn("full", digest(F.concat_ws("\n", "host", "path")))
     known = known.withColumn("short", F.substring("full", 1, PREFIX_DIGITS))
 
     urls = pages.select(F.col(url).alias("u")).where("u IS NOT NULL").distinct()
     parts = urls.select("u", host_of(F.col("u")).alias("h"), path_of(F.col("u")).alias("p"))
     expanded = parts.where("h <> ''").select(
-        "u", F.inline(expressions(F.col("h"), F.col("p"), lengths))
+        "u", F.inline(expressions(F.col("h"), F.col("p"), labels, lengths))
     )
     hashed = expanded.select("u", digest(F.concat_ws("\n", "h", "p")).alias("d"))
     near = hashed.withColumn("s", F.substring("d", 1, PREFIX_DIGITS)).join(known, F.col("s") == F.col("short"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections import Counter
+from array import array
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +19,8 @@ from pixelquery.session import cut_lineage, discard
 
 #: Bytes of texts: A-Z in lower case, other ASCII bytes but letters to spaces; bytes of other characters stay.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
-#: Different (language, source, term) that a scanning task holds before it hands them on.
-ENTRIES = 400_000
+#: Words and different words that a scanning task holds before it hands their counts on.
+WORDS, DIFFERENT = 1 << 22, 1 << 19
 #: Rows that are refined together, at least; a block ends where a term ends.
 BLOCK = 200_000
 #: Prefixes are extended up to so many bytes; longer terms are then judged whole.
@@ -26,51 +28,81 @@ LEVELS = 64
 #: Cells of two sources that a task compares at once.
 CELLS = 1 << 20
 SCALE = 1_000_000_000
-PARTIAL = "lang STRING, source STRING, term BINARY, n BIGINT, docs BIGINT, seen ARRAY<BIGINT>"
-COUNTED = "lang STRING, source STRING, term STRING, n BIGINT, total BIGINT, first BOOLEAN"
+PARTIAL = "lang STRING, term BINARY, docs BIGINT, seen BINARY, counts BINARY"
+COUNTED = "lang STRING, term STRING, gid BIGINT, n BIGINT, total BIGINT, first BOOLEAN"
 
 
 # counting -----------------------------------------------------------------------------------------
+def _bytes(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The rows of ``values`` between cuts, as bytes."""
+    offsets = (cuts * (values[:1].nbytes or 8)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers in a column of bytes, and how many each row has."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    total = (int(offsets[-1]) - int(offsets[0])) // 8
+    values = np.frombuffer(data, np.int64, total, int(offsets[0])) if total else np.empty(0, np.int64)
+    return values, np.diff(offsets) // 8
+
+
 def partial_counts(docs: DataFrame, least: int) -> DataFrame:
-    """The stored counts of each scanning task: occurrences, documents and up to ``least`` documents by number.
+    """The stored counts of each scanning task, one row for a language and term.
 
-    ``docs`` has ``lang, source, body`` (bytes), none null.  A row of the empty term stands for each
-    group, so that groups without terms are known.
+    ``docs`` has ``lang, gid`` (the number of language and source) and ``body`` (bytes), none null.  A row
+    has the number of documents, ``least`` of them by number (``seen``), and pairs of gid and occurrences
+    (``counts``), as 64-bit numbers.
     """
 
-    def table(held: dict) -> Iterator[pa.RecordBatch]:
-        flat = [(*key, term, *entry[:2], entry[2:]) for key, terms in held.items() for term, entry in terms.items()]
-        kinds = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-        names = ["lang", "source", "term", "n", "docs", "seen"]
-        for at in range(0, len(flat), 50_000):
-            columns = zip(*flat[at : at + 50_000])
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+    def table(words: list[bytes], codes: array, sizes: list, langs: list, gids: list, last: int) -> Iterator:
+        lang_names, lang = np.unique(np.array(langs, object), return_inverse=True)
+        group_ids, group = np.unique(np.array(gids, np.int64), return_inverse=True)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        keys, n = np.unique(doc * len(words) + np.array(codes, np.int64), return_counts=True)
+        doc, code = np.divmod(keys, max(1, len(words)))
+        entry = lang[doc] * len(words) + code
+        pair = entry * len(group_ids) + group[doc]
+        order = np.argsort(pair, kind="stable")
+        doc, n, entry, pair = doc[order], n[order], entry[order], pair[order]
+        starts = np.flatnonzero(np.concatenate([[True], entry[1:] != entry[:-1]]))
+        pair_starts = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+        docs_of = np.diff(np.append(starts, len(entry)))
+        shown = np.minimum(docs_of, least)
+        cuts = np.concatenate([[0], np.cumsum(shown)])
+        place = np.repeat(starts - cuts[:-1], shown) + np.arange(cuts[-1])
+        seen = last - len(sizes) + 1 + doc[place]
+        counts = np.stack([group_ids[pair[pair_starts] % len(group_ids)], np.add.reduceat(n, pair_starts)], 1)
+        of = entry[starts]
+        columns = [
+            pa.array(lang_names.tolist(), pa.string()).take(pa.array(of // len(words))),
+            pa.array(words, pa.binary()).take(pa.array(of % len(words))),
+            pa.array(docs_of),
+            _bytes(seen, cuts),
+            _bytes(counts, np.searchsorted(pair_starts, np.append(starts, len(entry)))),
+        ]
+        whole_batch = pa.RecordBatch.from_arrays(columns, ["lang", "term", "docs", "seen", "counts"])
+        for at in range(0, len(of), 50_000):
+            yield whole_batch.slice(at, 50_000)
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], dict[bytes, list]] = {}
-        size, number = 0, TaskContext.get().partitionId() << 40
+        words, codes, sizes, langs, gids = defaultdict(count().__next__), array("i"), [], [], []
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            keys = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())
-            for key, body in zip(keys, batch.column("body")):
+            keys = zip(batch.column("lang").to_pylist(), batch.column("gid").to_pylist())
+            for (lang, gid), body in zip(keys, batch.column("body")):
                 number += 1
-                terms = held.get(key)
-                if terms is None:
-                    terms = held[key] = {b"": [0, 0]}
-                before = len(terms)
-                for term, n in Counter(body.as_py().translate(FOLD).split()).items():
-                    entry = terms.get(term)
-                    if entry is None:
-                        terms[term] = [n, 1, number]
-                        continue
-                    entry[0] += n
-                    entry[1] += 1
-                    if entry[1] <= least:
-                        entry.append(number)
-                size += len(terms) - before
-                if size >= ENTRIES:
-                    yield from table(held)
-                    held, size = {}, 0
-        yield from table(held)
+                found = body.as_py().translate(FOLD).split()
+                codes.extend(map(words.__getitem__, found))
+                sizes.append(len(found))
+                langs.append(lang)
+                gids.append(gid)
+                if len(codes) >= WORDS or len(words) >= DIFFERENT:
+                    yield from table(list(words), codes, sizes, langs, gids, number)
+                    words, codes, sizes, langs, gids = defaultdict(count().__next__), array("i"), [], [], []
+        if codes:
+            yield from table(list(words), codes, sizes, langs, gids, number)
 
     return cut_lineage(docs.mapInArrow(rows, PARTIAL), "terms")
 
@@ -128,18 +160,16 @@ def refine(
 
 
 def kept_terms(partial: DataFrame, least: int) -> DataFrame:
-    """The stored ``lang, source, term, n, total, first`` of all kept terms.
+    """The stored ``lang, term, gid, n, total, first`` of all kept terms.
 
-    ``n`` is the term's occurrences in the source, ``total`` in the language; ``first`` marks one row of
-    each term.  Rows with an empty term stand for groups.  Terms are range-sorted, so a prefix is a run of
-    rows, whatever share of all rows has it; what a task holds is one block and the rows of one term,
-    which are as many as scanning tasks and sources have it.
+    ``n`` is the term's occurrences in the group, ``total`` in the language; ``first`` marks one row of
+    each term.  Terms are range-sorted, so a prefix is a run of rows, whatever share of all rows has it;
+    what a task holds is one block and the rows of one term, which are as many as scanning tasks have it.
     """
 
     def block(tables: list[pa.RecordBatch]) -> pa.RecordBatch | None:
-        rows = pa.Table.from_batches(tables).combine_chunks()
-        lang, term, source = (rows.column(c).combine_chunks() for c in ("lang", "term", "source"))
-        n, docs = rows.column("n").to_numpy(), rows.column("docs").to_numpy()
+        rows = pa.Table.from_batches(tables).combine_chunks().to_batches()[0]
+        lang, term, docs = rows.column("lang"), rows.column("term"), rows.column("docs").to_numpy()
 
         def changes(column) -> np.ndarray:
             differ = pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
@@ -147,26 +177,33 @@ def kept_terms(partial: DataFrame, least: int) -> DataFrame:
 
         new_lang = changes(lang)
         new_term = changes(term) | new_lang
-        new_row = changes(source) | new_term
-        starts, row_starts = np.flatnonzero(new_term), np.flatnonzero(new_row)
+        starts = np.flatnonzero(new_term)
         entry = np.cumsum(new_term) - 1
-        names = term.take(pa.array(starts)).to_pylist()
-        seen = rows.column("seen").combine_chunks()
-        owner = np.repeat(entry, np.diff(seen.offsets.to_numpy()))
-        total_docs = np.add.reduceat(docs, starts)
-        alive = refine(names, new_lang[starts], total_docs, owner, seen.flatten().to_numpy(), least)
-        stays = np.fromiter((not t for t in names), bool, len(names))  # groups
-        stays[alive] = True
-        total = np.add.reduceat(n, starts)
-        out = row_starts[stays[entry[row_starts]]]
-        if not len(out):
+        seen, of = _numbers(rows.column("seen"))
+        alive = refine(
+            term.take(pa.array(starts)).to_pylist(), new_lang[starts], np.add.reduceat(docs, starts),
+            np.repeat(entry, of), seen, least,
+        )
+        if not len(alive):
             return None
-        sums = np.add.reduceat(n, row_starts)[stays[entry[row_starts]]]
-        place = pa.array(out)
+        counts, of = _numbers(rows.column("counts"))
+        counts, owner = counts.reshape(-1, 2), np.repeat(entry, of // 2)
+        stays = np.zeros(len(starts), bool)
+        stays[alive] = True
+        counts, owner = counts[stays[owner]], owner[stays[owner]]
+        gids, group = np.unique(counts[:, 0], return_inverse=True)
+        pair = owner * len(gids) + group
+        order = np.argsort(pair, kind="stable")
+        pair, n = pair[order], counts[order, 1]
+        heads = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+        n, pair = np.add.reduceat(n, heads), pair[heads]
+        owner = pair // len(gids)
+        first = np.concatenate([[True], owner[1:] != owner[:-1]])
+        total = np.add.reduceat(n, np.flatnonzero(first))[np.cumsum(first) - 1]
+        place = pa.array(starts[owner])
         return pa.RecordBatch.from_arrays(
-            [lang.take(place), source.take(place), term.take(place).cast(pa.string()), pa.array(sums),
-             pa.array(total[entry[out]]), pa.array(new_term[out] & (total_docs[entry[out]] > 0))],
-            ["lang", "source", "term", "n", "total", "first"],
+            [lang.take(place), term.take(place).cast(pa.string()), pa.array(gids[pair % len(gids)]), pa.array(n),
+             pa.array(total), pa.array(first)], ["lang", "term", "gid", "n", "total", "first"],
         )
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,9 +229,8 @@ def kept_terms(partial: DataFrame, least: int) -> DataFrame:
         if held and (found := block(held)) is not None:
             yield found
 
-    order = ["lang", "term", "source"]
-    spread = partial.repartitionByRange("lang", "term").sortWithinPartitions(*order)
-    return cut_lineage(spread.select("lang", "source", "term", "n", "docs", "seen").mapInArrow(rows, COUNTED), "kept")
+    spread = partial.repartitionByRange("lang", "term").sortWithinPartitions("lang", "term")
+    return cut_lineage(spread.mapInArrow(rows, COUNTED), "kept")
 
 
 # comparison ---------------------------------------------------------------------------------------
@@ -277,21 +313,19 @@ def audit(
         whole(F.col(source).cast("string")).alias("source"),
         whole(text).cast("binary").alias("body"),
     )
-    partial = partial_counts(rows, least)
+    named = rows.select("lang", "source").distinct()
+    named = cut_lineage(named.withColumn("gid", F.monotonically_increasing_id()), "sources")
+    partial = partial_counts(rows.join(named, ["lang", "source"]).select("lang", "gid", "body"), least)
     counted = kept_terms(partial, least)
     discard(partial)
-    in_terms = counted.where("term <> ''")
-    groups = counted.groupBy("lang", "source").agg(F.sum("n").alias("of"))
-    langs = in_terms.groupBy("lang").agg(
-        F.count_if("first").alias("terms"), F.sum("n").alias("of_lang")
-    )
-    groups = groups.join(langs, "lang", "left").fillna(0, ["terms", "of_lang"])
+    langs = counted.groupBy("lang").agg(F.count_if("first").alias("terms"), F.sum("n").alias("of_lang"))
+    sizes = counted.groupBy("gid").agg(F.sum("n").alias("of"))
+    groups = named.join(sizes, "gid", "left").join(langs, "lang", "left").fillna(0, ["of", "terms", "of_lang"])
     zero = F.when(F.col("terms") > 0, F.expr(f"1 + {SCALE}L div (of + terms)"))
-    groups = cut_lineage(
-        groups.withColumns({"z": zero, "gid": F.monotonically_increasing_id()}), "groups"
-    )
+    groups = cut_lineage(groups.withColumn("z", zero), "groups")
+    discard(named)
 
-    shares = in_terms.join(groups, ["lang", "source"]).select(
+    shares = counted.join(groups.drop("lang"), "gid").select(
         "lang", "source", "term", "gid", "z", share("n", "of").alias("p"), share("total", "of_lang").alias("q")
     )
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")

@@ -67,7 +67,7 @@ def got(df):
 @pytest.mark.parametrize("small", [False, True])
 def test_audit(spark, monkeypatch, small):
     if small:
-        for name, value in (("ENTRIES", 40), ("BLOCK", 15), ("LEVELS", 4), ("CELLS", 5)):
+        for name, value in (("WORDS", 90), ("DIFFERENT", 40), ("BLOCK", 15), ("LEVELS", 4), ("CELLS", 5)):
             monkeypatch.setattr(source_audit, name, value)
     rows = made()
     docs = spark.createDataFrame(rows, FIELDS).repartition(5)

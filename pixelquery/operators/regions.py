@@ -128,7 +128,7 @@ def _tile_summary(grid: Grid):
     return summarise
 
 
-def _tile_patches(pred: DataFrame, grid: Grid, column: str) -> DataFrame:
+def tile_patches(pred: DataFrame, grid: Grid, column: str) -> DataFrame:
     cells = grid.with_tiles(pred.select("row", "col", F.col(column).alias("class_id")))
     return by_tile(cells, grid).groupBy("tile_row", "tile_col").applyInPandas(_tile_summary(grid), _TILE_SCHEMA)
 
@@ -191,15 +191,9 @@ def connected_roots(edges: DataFrame) -> DataFrame:
     return roots
 
 
-def connected_regions(pred: DataFrame, grid: Grid, column: str = "class_id") -> DataFrame:
-    """4-connected regions of equal class, nodata left out.
-
-    ``region_id`` is the raster-wide index (row * width + col) of the region's first pixel; the
-    perimeter is the length of pixel edges that face another class, nodata or the outside.
-    """
-    tiles = cut_lineage(_tile_patches(pred, grid, column), "patches")
-    totals = tiles.where("side IS NULL")
-    borders = (
+def patch_borders(tiles: DataFrame) -> DataFrame:
+    """``a, b, sides``: patches of neighbouring tiles that are one region, and the pixel sides they share."""
+    return (
         tiles.where("side IS NOT NULL")
         .groupBy("side", "at_row", "at_col", "class_id")
         .agg(F.min("patch").alias("a"), F.max("patch").alias("b"), F.count("*").alias("n"))
@@ -207,7 +201,17 @@ def connected_regions(pred: DataFrame, grid: Grid, column: str = "class_id") ->
         .groupBy("a", "b")
         .agg(F.count("*").alias("sides"))
     )
-    borders = cut_lineage(borders, "borders")
+
+
+def connected_regions(pred: DataFrame, grid: Grid, column: str = "class_id") -> DataFrame:
+    """4-connected regions of equal class, nodata left out.
+
+    ``region_id`` is the raster-wide index (row * width + col) of the region's first pixel; the
+    perimeter is the length of pixel edges that face another class, nodata or the outside.
+    """
+    tiles = cut_lineage(tile_patches(pred, grid, column), "patches")
+    totals = tiles.where("side IS NULL")
+    borders = cut_lineage(patch_borders(tiles), "borders")
     roots = connected_roots(borders)
     # both sides of a matched border pair were counted as boundary inside their tiles
     inner = (

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from pixelquery import fixtures
-from pixelquery.operators import regions, simplify
+from pixelquery.operators import outlines, regions
 from pixelquery.queries.classes import _DIM
-from pixelquery.queries.common import with_grid_recursive
+from pixelquery.queries.common import with_grid, with_grid_recursive
 
 QUERIES = {}
 ORACLES = {}
@@ -47,10 +49,71 @@ ORACLES["agg18_dissolve"] = with_grid_recursive(
 )
 
 
+def rings_of(spark, sf_dir):
+    return outlines.region_rings(fixtures.classes(spark, sf_dir), fixtures.pixel_grid(spark, sf_dir))
+
+
+def _rings(spark, sf_dir):
+    """Rings, holes, corners and area of every region, from its ordered boundary."""
+    rings, corners = rings_of(spark, sf_dir)
+    turns = corners.groupBy("ring").agg(F.count("*").alias("turns"))
+    cell = fixtures.PIXEL_M**2
+    return rings.join(turns, "ring").groupBy("region_id", "class_id").agg(
+        F.count("*").alias("rings"), F.sum(F.col("hole").cast("long")).alias("holes"), F.sum("edges").alias("edges"),
+        F.sum("turns").alias("corners"), (F.sum("area") * cell).alias("area_m2"),
+    )
+
+
+# a region's holes follow from pixels, pairs and squares; a pixel's corner turns where both neighbours
+# differ, or where both are alike and the one between them is not
+_NEAR = {"u": (-1, 0), "d": (1, 0), "l": (0, -1), "r_": (0, 1), "ul": (-1, -1), "ur": (-1, 1), "dl": (1, -1), "dr": (1, 1)}
+RING_CTES = (
+    *_REGIONS,
+    "nb AS (SELECT a.k, " + ", ".join(f"coalesce({n}.v = a.v, false) AS {n}" for n in _NEAR) + " FROM cells a "
+    + " ".join(f"LEFT JOIN cells {n} ON {n}.r = a.r + {y} AND {n}.c = a.c + {x}" for n, (y, x) in _NEAR.items()) + ")",
+    "shape AS (SELECT region_id, count(*) AS pixels, sum(CAST(r_ AS INT) + CAST(d AS INT)) AS pairs, "
+    "sum(CAST(r_ AND d AND dr AS INT)) AS squares, "
+    "sum(4 - CAST(u AS INT) - CAST(d AS INT) - CAST(l AS INT) - CAST(r_ AS INT)) AS edges, sum("
+    + " + ".join(
+        f"CAST((NOT {a} AND NOT {b}) OR ({a} AND {b} AND NOT {ab}) AS INT)"
+        for a, b, ab in (("u", "l", "ul"), ("u", "r_", "ur"), ("d", "l", "dl"), ("d", "r_", "dr"))
+    )
+    + ") AS corners FROM nb JOIN labels USING (k) GROUP BY region_id)",
+)
+QUERIES["agg18_region_rings"] = _rings
+ORACLES["agg18_region_rings"] = with_grid_recursive(
+    "SELECT region_id, class_id, CAST(2 - (s.pixels - pairs + squares) AS BIGINT) AS rings, "
+    "CAST(1 - (s.pixels - pairs + squares) AS BIGINT) AS holes, CAST(edges AS BIGINT) AS edges, "
+    "CAST(corners AS BIGINT) AS corners, CAST(s.pixels * 122500 AS DOUBLE) AS area_m2 "
+    "FROM shape s JOIN reg USING (region_id)",
+    *RING_CTES,
+)
+
+
 def _boundaries(spark, sf_dir):
+    """Lines between each two classes: unit edges before, end points and distinct ends after simplifying."""
     grid = fixtures.pixel_grid(spark, sf_dir)
-    arcs = simplify.boundary_arcs(fixtures.classes(spark, sf_dir), grid, 2.0 * grid.res)
-    return simplify.class_boundaries(arcs)
+    lines = outlines.boundary_lines(fixtures.classes(spark, sf_dir), grid, 2.0 * grid.res)
+    ends = F.when(~F.col("closed"), F.array(F.element_at("points", 1), F.element_at("points", -1)))
+    spots = F.explode(F.coalesce(ends, F.array(F.lit(None).cast("struct<x: double, y: double>"))))
+    at = lines.select("class_a", "class_b", spots.alias("p")).groupBy("class_a", "class_b").agg(F.countDistinct("p.x", "p.y").alias("ends"))
+    sums = lines.groupBy("class_a", "class_b").agg(F.sum("edges").alias("edges"))
+    return sums.join(at, ["class_a", "class_b"])
 
 
 QUERIES["agg19_simplified_boundaries"] = _boundaries
+ORACLES["agg19_simplified_boundaries"] = with_grid(
+    "SELECT a AS class_a, b AS class_b, n AS edges, count(DISTINCT p) AS ends FROM "
+    "(SELECT a, b, count(*) AS n FROM sides GROUP BY a, b) "
+    "LEFT JOIN (SELECT a AS a1, b AS b1, p FROM spots JOIN (SELECT p FROM spots GROUP BY p HAVING count(*) <> 2) USING (p)) "
+    "ON a = a1 AND b = b1 GROUP BY a, b, n",
+    "full_ AS (SELECT r, c, coalesce(y_pred, -1) AS v FROM grid)",
+    "facing AS (SELECT r, c, v, coalesce(lag(v) OVER (PARTITION BY c ORDER BY r), -1) AS up, "
+    "coalesce(lag(v) OVER (PARTITION BY r ORDER BY c), -1) AS le FROM full_)",
+    "met AS (SELECT r AS r1, c AS c1, r AS r2, c + 1 AS c2, v, up AS w FROM facing "
+    "UNION ALL SELECT r, c, r + 1, c, v, le FROM facing "
+    "UNION ALL SELECT r + 1, c, r + 1, c + 1, v, -1 FROM full_, size WHERE r + 1 = h "
+    "UNION ALL SELECT r, c + 1, r + 1, c + 1, v, -1 FROM full_, size WHERE c + 1 = w)",
+    "sides AS (SELECT *, least(v, met.w) AS a, greatest(v, met.w) AS b FROM met WHERE v <> met.w)",
+    "spots AS (SELECT a, b, [r1, c1] AS p FROM sides UNION ALL SELECT a, b, [r2, c2] FROM sides)",
+)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pixelquery import fixtures
-from pixelquery.operators import classify, ml, regions, spatial
+from pixelquery.operators import classify, ml, outlines, spatial
 from pixelquery.plans import landcover
 from pixelquery.queries import classes, learning, spectral, training
-from pixelquery.queries.common import r, rounded, with_grid
-from pixelquery.queries.regions import ORACLES as REGION_ORACLES
+from pixelquery.queries import regions as region_queries
+from pixelquery.queries.common import r, rounded, with_grid, with_grid_recursive
 from pixelquery.schema import BAND_NAMES, SPECTRAL_BANDS
 from pixelquery.session import scratch_path
 from pixelquery.sources import raster, tables, vector
@@ -125,16 +126,35 @@ for _key in ("snk2_geojson_polygons", "src9_geojson_scan"):
 
 
 def _region_layer(spark, sf_dir):
+    """The stored layer, read back: rings, points and the area within the points, by class."""
     path = scratch_path(spark, "regions")
-    found = regions.connected_regions(
-        fixtures.classes(spark, sf_dir), fixtures.pixel_grid(spark, sf_dir)
+    grid = fixtures.pixel_grid(spark, sf_dir)
+    outlines.ring_layer(*region_queries.rings_of(spark, sf_dir), grid, most=64).write.parquet(path)
+    layer = spark.read.parquet(path).withColumn(
+        "points", F.transform("points", lambda p: F.struct((p["x"] - grid.x0).alias("x"), (p["y"] - grid.y0).alias("y")))
+    )
+    # parts follow one another, so a part's last point meets the first of the next, or of the ring
+    parts = layer.select(
+        "class_id", "ring", "part", F.size("points").alias("n"), F.element_at("points", 1).alias("first"),
+        F.element_at("points", -1).alias("last"),
+        F.expr("IF(size(points) > 1, aggregate(sequence(1, size(points) - 1), CAST(0 AS DOUBLE), (s, i) -> s + "
+               "points[i].x * points[i - 1].y - points[i - 1].x * points[i].y), 0D)").alias("twice"),
+    )
+    around = Window.partitionBy("ring").orderBy("part")
+    following = F.coalesce(F.lead("first").over(around), F.first("first").over(around))
+    crossed = following["x"] * F.col("last")["y"] - F.col("last")["x"] * following["y"]
+    return parts.withColumn("twice", F.col("twice") + crossed).groupBy("class_id").agg(
+        F.countDistinct("ring").alias("rings"), F.sum("n").alias("points"), (F.sum("twice") / 2).alias("area_m2")
     )
-    regions.dissolve(found).write.parquet(path)
-    return spark.read.parquet(path)
 
 
 QUERIES["snk7_region_layer"] = _region_layer
-ORACLES["snk7_region_layer"] = REGION_ORACLES["agg18_dissolve"]
+ORACLES["snk7_region_layer"] = with_grid_recursive(
+    "SELECT class_id, CAST(sum(2 - (s.pixels - pairs + squares)) AS BIGINT) AS rings, "
+    "CAST(sum(corners) AS BIGINT) AS points, CAST(sum(s.pixels) * 122500 AS DOUBLE) AS area_m2 "
+    "FROM shape s JOIN reg USING (region_id) GROUP BY class_id",
+    *region_queries.RING_CTES,
+)
 
 
 # tables ---------------------------------------------------------------------------------------

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pixelquery.functions import geodesy
 from pixelquery.functions.reflectance import clip_evi
 from pixelquery.grid import Grid
 from pixelquery.schema import BAND_NAMES
+from pixelquery.session import cut_lineage
 
 
 def box_polygons(areas: DataFrame) -> DataFrame:
@@ -148,11 +149,13 @@ def ring_area(ring: Column) -> Column:
 
 # upper bound of a polygon table that is sent to every executor
 BROADCAST_BYTES = 32 * 1024 * 1024
+# rings with more edges are cut into slabs
+HEAVY_EDGES = 64
 
 
 def bucket_size(grid: Grid) -> int:
-    """Side of the join buckets in pixels: about an eighth of a tile, dividing it evenly."""
-    return next(b for b in range(max(1, grid.tile // 8), 0, -1) if grid.tile % b == 0)
+    """Side of the join buckets in pixels: about an eighth of a tile and at most 63, dividing it evenly."""
+    return next(b for b in range(min(63, max(1, grid.tile // 8)), 0, -1) if grid.tile % b == 0)
 
 
 def _pixel_ranges(polygons: DataFrame, grid: Grid) -> DataFrame:
@@ -175,28 +178,96 @@ def _pixel_ranges(polygons: DataFrame, grid: Grid) -> DataFrame:
 
 
 def polygon_buckets(polygons: DataFrame, grid: Grid) -> DataFrame:
-    """Projected polygons, once per pixel bucket they may touch, with their pixel range.
+    """Projected polygons, once per pixel bucket they may touch, with their pixel range and ``_edges``.
 
-    The table is marked for broadcast if its measured size is small, and for a merge join otherwise;
-    the optimizer's own estimate does not see how many buckets a polygon covers.
+    Rings of up to ``HEAVY_EDGES`` edges go whole to each bucket.  Of longer ones a bucket gets the edges
+    near it and, in ``_odd``, a bit for each of its rows: whether an odd number of the other edges lies to
+    the right of the bucket there (see ``_slabs``), so what is sent grows with the edges and the buckets, not
+    with their product.  The table is marked for broadcast if its measured size is small, and for a merge
+    join otherwise; the optimizer's own estimate does not see how many buckets a polygon covers.
     """
     size = bucket_size(grid)
     per_tile = grid.tile // size
     ranged = _pixel_ranges(polygons, grid)
-    bucketed = ranged.withColumn("_br", _bucket_range("_r0", "_r1", size)).withColumn(
+    rows = (F.col("_r1") - F.col("_r0")) / size + 2
+    cols = (F.col("_c1") - F.col("_c0")) / size + 2
+    heavy = F.size("_edges") > HEAVY_EDGES
+    weight = rows * cols * (F.when(heavy, 2).otherwise(F.size("_edges")) * 48 + 256)
+    weight = weight + F.when(heavy, F.size("_edges") * 3 * 48).otherwise(0)
+    measured, n_heavy = ranged.agg(F.sum(weight), F.count_if(heavy)).first()
+    bucketed = ranged.where(~heavy).withColumn("_br", _bucket_range("_r0", "_r1", size)).withColumn(
         "_bc", _bucket_range("_c0", "_c1", size)
     )
+    bucketed = bucketed.withColumn("_odd", F.lit(0).cast("bigint"))
+    if n_heavy:
+        bucketed = bucketed.unionByName(_slabs(ranged.where(heavy), grid, size))
     bucketed = bucketed.withColumns(
         {
             "tile_row": F.floor(F.col("_br") / per_tile).cast("int"),
             "tile_col": F.floor(F.col("_bc") / per_tile).cast("int"),
         }
     )
-    rows = (F.col("_r1") - F.col("_r0")) / size + 2
-    cols = (F.col("_c1") - F.col("_c0")) / size + 2
-    weight = rows * cols * (F.size("_edges") * 48 + 256)
-    measured = ranged.agg(F.sum(weight)).first()[0] or 0
-    return bucketed.hint("broadcast" if measured <= BROADCAST_BYTES else "merge")
+    return bucketed.hint("broadcast" if (measured or 0) <= BROADCAST_BYTES else "merge")
+
+
+def _slabs(ranged: DataFrame, grid: Grid, size: int) -> DataFrame:
+    """Buckets of rings with very many edges.
+
+    An edge meets few bands of ``size`` pixel rows, and in each a few buckets near it.  For all buckets to
+    the left of these it is one crossing to the right, in the rows it spans: bits that are combined by
+    exclusive or along each band, from right to left.  Both parts follow the test of ``_inside`` row by row.
+    """
+    wide = cut_lineage(ranged.withColumn("_id", F.monotonically_increasing_id()), "rings")
+    top, left, res = float(grid.y0), float(grid.x0), float(grid.res)
+    edge = F.col("e")
+    edges = wide.select("_id", "_r0", "_r1", "_c0", "_c1", F.explode("_edges").alias("e")).where("e.y1 <> e.y2")
+    # rows between the ends of an edge, and one more on both sides for the sake of rounding
+    first = F.floor((F.lit(top) - F.greatest(edge["y1"], edge["y2"])) / res - 1.5).cast("int")
+    last = F.ceil((F.lit(top) - F.least(edge["y1"], edge["y2"])) / res + 0.5).cast("int")
+    edges = edges.withColumns({"f": F.greatest("_r0", first), "l": F.least("_r1", last)}).where("f <= l")
+    bands = edges.withColumn("_br", _bucket_range("f", "l", size))
+    bands = bands.withColumns(
+        {"f": F.greatest("f", F.col("_br") * size), "l": F.least("l", (F.col("_br") + 1) * size - 1)}
+    )
+
+    def crossing(row: Column) -> Column:
+        y = F.lit(top) - (row + F.lit(0.5)) * res
+        at = (edge["x2"] - edge["x1"]) * (y - edge["y1"]) / (edge["y2"] - edge["y1"]) + edge["x1"]
+        return F.greatest(F.least(at, F.greatest(edge["x1"], edge["x2"])), F.least(edge["x1"], edge["x2"]))
+
+    low, high = F.least(crossing(F.col("f")), crossing(F.col("l"))), F.greatest(crossing(F.col("f")), crossing(F.col("l")))
+    spans = F.transform(
+        F.sequence("f", "l"),
+        lambda row: F.when(
+            (edge["y1"] > F.lit(top) - (row + F.lit(0.5)) * res) != (edge["y2"] > F.lit(top) - (row + F.lit(0.5)) * res),
+            F.call_function("shiftleft", F.lit(1).cast("bigint"), row - F.col("_br") * size),
+        ).otherwise(F.lit(0).cast("bigint")),
+    )
+    bands = bands.withColumns(
+        {
+            "n0": F.floor((low - left) / res / size - 2.0 / size).cast("int"),
+            "n1": F.floor((high - left) / res / size + 2.0 / size).cast("int"),
+            "bits": F.aggregate(spans, F.lit(0).cast("bigint"), lambda s, bit: s.bitwiseOR(bit)),
+        }
+    )
+    begin, end = F.floor(F.col("_c0") / size).cast("int"), F.floor(F.col("_c1") / size).cast("int")
+    # every bucket of the ring's range, so that those without an edge nearby get their bits too
+    cells = wide.select("_id", "_r0", "_r1", "_c0", "_c1", _bucket_range("_r0", "_r1", size).alias("_br"))
+    cells = cells.select("_id", "_br", _bucket_range("_c0", "_c1", size).alias("_bc"))
+    # the bits of an edge count for buckets before the first near one: they are kept at that border
+    border = F.greatest(F.least("n0", end + 1), begin)
+    bits = bands.where(F.col("n0") > begin).groupBy("_id", "_br", (border - 1).alias("_bc")).agg(F.bit_xor("bits").alias("bits"))
+    near = bands.select(
+        "_id", "_br", F.explode(F.when(F.greatest("n0", begin) <= F.least("n1", end),
+        F.sequence(F.greatest("n0", begin), F.least("n1", end))).otherwise(F.array().cast("array<int>"))).alias("_bc"), "e",
+    ).groupBy("_id", "_br", "_bc").agg(F.collect_list("e").alias("_edges"))
+    key = ["_id", "_br", "_bc"]
+    from_right = Window.partitionBy("_id", "_br").orderBy(F.desc("_bc")).rowsBetween(Window.unboundedPreceding, 0)
+    table = cells.join(bits, key, "left").withColumn("_odd", F.coalesce(F.bit_xor("bits").over(from_right), F.lit(0)))
+    table = table.drop("bits").join(near, key, "left").where("_odd <> 0 OR _edges IS NOT NULL")
+    none = F.array().cast(ranged.schema["_edges"].dataType)
+    table = table.withColumn("_edges", F.coalesce("_edges", none))
+    return table.join(wide.drop("_edges"), "_id").drop("_id")
 
 
 def _bucket_range(first: str, last: str, size: int) -> Column:
@@ -205,6 +276,10 @@ def _bucket_range(first: str, last: str, size: int) -> Column:
     )
 
 
+def _bit(bits: Column, place: Column) -> Column:
+    return F.call_function("shiftright", bits, place).bitwiseAND(F.lit(1).cast("bigint")) == 1
+
+
 def label_pixels(pixels: DataFrame, polygons: DataFrame, grid: Grid) -> DataFrame:
     """Pixels whose centre lies in a projected polygon, once per polygon that holds them.
 
@@ -230,7 +305,7 @@ def label_pixels(pixels: DataFrame, polygons: DataFrame, grid: Grid) -> DataFram
     hits = joined.where(
         row.between(F.col("_r0"), F.col("_r1"))
         & col.between(F.col("_c0"), F.col("_c1"))
-        & _inside(F.col("_edges"), grid.x(col), grid.y(row))
+        & (_inside(F.col("_edges"), grid.x(col), grid.y(row)) != _bit(F.col("_odd"), row - F.col("_br") * size))
     )
     return hits.select(*[F.col(c) for c in carried], *[keyed[c] for c in pixels.columns])
 

@@ -183,3 +183,25 @@ def projected_outline(
         edge(west, north, west, south),
     )
     return project_ring(outline, zone)
+
+
+def projected_bounds(west: Column, south: Column, east: Column, north: Column, zone: int = 12, between: int = 21) -> Column:
+    """``left, bottom, right, top`` in UTM of a lon/lat box, with ``between`` more points on each side.
+
+    The sides of a box are curves on the map, so corners alone would cut off what bulges out.
+    """
+    steps = F.sequence(F.lit(0), F.lit(between + 1))
+    share = lambda i: i.cast("double") / float(between + 1)
+    along = lambda a, b, i: a + (b - a) * share(i)
+    sides = (
+        F.transform(steps, lambda i: point(along(west, east, i), south)),
+        F.transform(steps, lambda i: point(east, along(south, north, i))),
+        F.transform(steps, lambda i: point(along(west, east, i), north)),
+        F.transform(steps, lambda i: point(west, along(south, north, i))),
+    )
+    # as an exploded array the projected points are evaluated once
+    outline = project_ring(F.concat(*sides), zone)
+    return F.struct(
+        F.array_min(outline["x"]).alias("left"), F.array_min(outline["y"]).alias("bottom"),
+        F.array_max(outline["x"]).alias("right"), F.array_max(outline["y"]).alias("top"),
+    )

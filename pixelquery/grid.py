@@ -66,6 +66,25 @@ class Grid:
         """Driver-side ``row_at`` for a single constant."""
         return max(0, min(self.height, int((self.y0 - y) / self.res)))
 
+    def window(self, left: Column, bottom: Column, right: Column, top: Column) -> Column:
+        """The reference grid of a box on this grid: the part they share, in whole pixels.
+
+        ``x0, y0, height, width, coverage`` (share of the box); null where they do not meet.  Lengths are
+        rounded to the nearest pixel, and so are offsets, separately.
+        """
+        l0, b0, r0, t0 = (F.lit(float(v)) for v in self.bounds)
+        l, b, r, t = F.greatest(left, l0), F.greatest(bottom, b0), F.least(right, r0), F.least(top, t0)  # noqa: E741
+        res = F.lit(float(self.res))
+        size = lambda v: F.floor(v / res + 0.5)
+        return F.when(
+            (l < r) & (b < t),
+            F.struct(
+                (l0 + size(l - l0) * res).alias("x0"), (t0 - size(t0 - t) * res).alias("y0"),
+                size(t - b).cast("int").alias("height"), size(r - l).cast("int").alias("width"),
+                ((r - l) * (t - b) / ((right - left) * (top - bottom))).alias("coverage"),
+            ),
+        )
+
     # tables ---------------------------------------------------------------------------------
     def tile_of(self, position: Column) -> Column:
         return F.floor(position / F.lit(self.tile)).cast("int")

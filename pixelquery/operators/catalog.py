@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pixelquery.functions import geodesy
+from pixelquery.grid import Grid
 from pixelquery.schema import (
     AOI_WGS84,
     DATE_RANGE,
@@ -93,14 +95,33 @@ def scene_metadata(scenes: DataFrame) -> DataFrame:
     )
 
 
-def metadata_lines(scenes: DataFrame) -> DataFrame:
-    """The metadata text of each scene as ``scene_key, line`` rows, ``key : value`` per line."""
-    meta = scene_metadata(scenes)
+def reference_grids(scenes: DataFrame, scene_grid: Grid, between: int = 21) -> DataFrame:
+    """The grid that each scene's box shares with a scene grid: ``scene_id, x0, y0, height, width, coverage``.
+
+    Boxes are projected with ``between`` points more on each side; scenes beyond the grid are left out.
+    """
+    box = geodesy.projected_bounds(*[F.col(f"bbox.{c}") for c in ("west", "south", "east", "north")], between=between)
+    projected = scenes.select("scene_id", F.explode(F.array(box)).alias("b"))
+    window = scene_grid.window(*[F.col(f"b.{c}") for c in ("left", "bottom", "right", "top")])
+    return projected.select("scene_id", window.alias("w")).where("w IS NOT NULL").select("scene_id", "w.*")
+
+
+def metadata_lines(scenes: DataFrame, downloaded: str | None = None) -> DataFrame:
+    """The metadata text of each scene as ``scene_key, line`` rows, ``key : value`` per line.
+
+    ``downloaded`` is the time to note, ISO formatted; by default now.
+    """
+    box = F.concat_ws(", ", *[F.col(f"bbox.{c}").cast("string") for c in ("west", "south", "east", "north")])
+    now = F.lit(downloaded) if downloaded else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
+    boxes = scenes.select(F.col("scene_id").alias("_scene"), F.concat(F.lit("["), box, F.lit("]")).alias("bbox"))
+    meta = scene_metadata(scenes).join(boxes, F.col("scene_id") == F.col("_scene"))
     lines = F.array(
         F.concat(F.lit("scene_id    : "), "scene_id"),
         F.concat(F.lit("date        : "), "date"),
         F.concat(F.lit("cloud_cover : "), F.format_string("%.2f", "cloud"), F.lit("%")),
+        F.concat(F.lit("bbox        : "), "bbox"),
         F.concat(F.lit("epsg        : "), "epsg"),
+        F.concat(F.lit("downloaded  : "), now),
     )
     return meta.select("scene_key", F.explode(lines).alias("line"))
 
@@ -116,6 +137,13 @@ def parse_cloud_cover(lines: DataFrame, key: str = "scene_key") -> DataFrame:
     return lines.groupBy(key).agg(F.coalesce(F.min(readable), F.lit(100.0)).alias("cloud"))
 
 
+def cloud_of_scenes(scenes: DataFrame, lines: DataFrame) -> DataFrame:
+    """``scene_id, scene_key, cloud`` of all scenes by their metadata text; one without a text counts 100."""
+    keys = scene_metadata(scenes).select("scene_id", "scene_key")
+    known = keys.join(parse_cloud_cover(lines), "scene_key", "left")
+    return known.select("scene_id", "scene_key", F.coalesce("cloud", F.lit(100.0)).alias("cloud"))
+
+
 def dem_tiles(catalog: DataFrame, aoi: Sequence[float] = AOI_WGS84) -> DataFrame:
     """Elevation tiles over the AOI that carry a ``data`` asset."""
     href = F.try_element_at("assets", F.lit("data"))
@@ -154,3 +182,12 @@ def fetched_bytes(manifest: DataFrame) -> DataFrame:
         .agg(F.sum("bytes").alias("bytes"))
         .withColumn("mb", F.col("bytes") / BYTES_PER_MB)
     )
+
+
+def download_report(manifest: DataFrame, dem: DataFrame) -> DataFrame:
+    """``item, bytes, mb``: each scene, the elevation tiles together, and the total (0 without any)."""
+    scenes = manifest.groupBy(F.col("scene_id").alias("item")).agg(F.sum("bytes").alias("bytes"))
+    tiles = dem.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).select(F.lit("DEM tiles").alias("item"), "bytes")
+    rows = scenes.unionByName(tiles)
+    total = rows.agg(F.sum("bytes").alias("bytes")).select(F.lit("Total downloaded").alias("item"), "bytes")
+    return rows.unionByName(total).withColumn("mb", F.col("bytes") / BYTES_PER_MB)

@@ -9,8 +9,9 @@ by its pixel and side (top, right, bottom, left).
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -291,20 +292,40 @@ def boundary_lines(
     parted = corners.join(heads, "line")
     x0, y0, res = grid.x0, grid.y0, grid.res
 
-    def simplified(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("place")
-        start, stop = int(pdf["place"].iloc[0]), int(pdf["place"].iloc[-1])
-        points = np.stack([x0 + pdf["col"].to_numpy() * res, y0 - pdf["row"].to_numpy() * res], 1)
+    def one(rows: pa.Table, a: int, b: int) -> tuple:
+        points = np.stack([x0 + rows["col"].to_numpy()[a:b] * res, y0 - rows["row"].to_numpy()[a:b] * res], 1)
         if len(points) > 2:
             points = points[douglas_peucker(points, tolerance)]
         length = float(np.hypot(*np.diff(points, axis=0).T).sum())
-        one = pdf.iloc[0]
-        return pd.DataFrame(
-            [(key[0], key[1], one["class_a"], one["class_b"], stop - start, one["closed"], length,
-              points[:, 0].tolist(), points[:, 1].tolist())] if stop > start else [],
-            columns=["line", "part", "class_a", "class_b", "edges", "closed", "length", "xs", "ys"],
-        )
+        place = rows["place"].to_numpy()
+        about = [rows[c][a].as_py() for c in ("line", "part", "class_a", "class_b")]
+        return (*about, int(place[b - 1] - place[a]), rows["closed"][a].as_py(), length, points[:, 0].tolist(), points[:, 1].tolist())
+
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.float64()] + [pa.list_(pa.float64())] * 2
+    names = ["line", "part", "class_a", "class_b", "edges", "closed", "length", "xs", "ys"]
+
+    def simplified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def closed(rows: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
+            found = [one(rows, a, b) for a, b in zip(cuts, cuts[1:]) if b - a > 1]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([f[i] for f in found], k) for i, k in enumerate(kinds)], names
+            )
+
+        for batch in batches:
+            held.append(batch)
+            rows = pa.Table.from_batches(held).combine_chunks()
+            line, part = rows["line"].to_numpy(), rows["part"].to_numpy()
+            starts = np.flatnonzero(np.append(True, (line[1:] != line[:-1]) | (part[1:] != part[:-1]))) if len(line) else []
+            if len(starts) > 1:  # the last one may go on in the next batch
+                yield closed(rows, starts)
+                held = rows.slice(starts[-1]).to_batches()
+        if held:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            if len(rows):
+                yield closed(rows, np.array([0, len(rows)]))
 
     fields = "line BIGINT, part INT, class_a INT, class_b INT, edges BIGINT, closed BOOLEAN, length DOUBLE, xs ARRAY<DOUBLE>, ys ARRAY<DOUBLE>"
-    lines = parted.groupBy("line", "part").applyInPandas(simplified, fields)
+    lines = parted.repartition("line", "part").sortWithinPartitions("line", "part", "place").mapInArrow(simplified, fields)
     return lines.withColumn("points", F.zip_with("xs", "ys", point)).drop("xs", "ys")

@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 
 from pixelquery import fixtures
 from pixelquery.functions.geodesy import projected_outline
+from pixelquery.grid import Grid
 from pixelquery.operators import catalog, resample
 from pixelquery.queries import geodesy_sql
 from pixelquery.queries.common import r, rounded
 from pixelquery.schema import AOI_WGS84, SCENE_BANDS, SPECTRAL_BANDS
+from pixelquery.session import scratch_path
+from pixelquery.sources import tables
 
 QUERIES = {}
 ORACLES = {}
@@ -219,3 +222,65 @@ ORACLES["prj25_clip_to_aoi"] = (
     f"{r(f'100.0 * (r - l) * (t - b) / {(_R - _L) * (_T - _B)}', 3)} AS coverage_pct "
     "FROM clip WHERE l < r AND b < t"
 )
+
+
+# files and grids of scenes ----------------------------------------------------------------------
+def _cloud_from_files(spark, sf_dir):
+    """Metadata texts written and scanned; scenes with an unknown projection have none, those from 100 % no number."""
+    path = scratch_path(spark, "metadata")
+    scenes = _found(spark, sf_dir)
+    lines = catalog.metadata_lines(scenes.where("epsg IS NOT NULL"), downloaded="2024-01-21T00:00:00")
+    tables.write_scene_metadata(lines, path)
+    return catalog.cloud_of_scenes(scenes, tables.read_scene_metadata(spark, path))
+
+
+QUERIES["src7_cloud_from_files"] = _cloud_from_files
+ORACLES["src7_cloud_from_files"] = (
+    _SCENES + _FOUND + f"SELECT scene_id, strftime(acquired, '%Y%m%d') || '_' || right(scene_id, 6) AS scene_key, "
+    "CASE WHEN epsg IS NULL THEN 100.0 ELSE CAST(printf('%.2f', cloud) AS DOUBLE) END AS cloud FROM found"
+)
+
+_TILE = Grid(x0=399960.0, y0=3800040.0, res=10.0, height=10980, width=10980)
+
+
+def _reference_grids(spark, sf_dir):
+    """Whole-pixel grids that the scenes share with one 110 km scene tile."""
+    return rounded(catalog.reference_grids(_scenes(spark, sf_dir), _TILE), "coverage")
+
+
+_BOX_EDGES = (
+    "rim AS (SELECT scene_id, CASE side WHEN 1 THEN east WHEN 3 THEN west ELSE west + (east - west) * s END AS lon, "
+    "CASE side WHEN 0 THEN south WHEN 2 THEN north ELSE south + (north - south) * s END AS lat FROM box, "
+    "(SELECT side, CAST(i AS DOUBLE) / 22 AS s FROM range(0, 4) AS a(side), range(0, 23) AS b(i)) AS steps), "
+)
+QUERIES["prj26_reference_grids"] = _reference_grids
+ORACLES["prj26_reference_grids"] = (
+    _SCENES
+    + _BOX_EDGES
+    + ", ".join(geodesy_sql.forward("rim", "lon", "lat", "rimxy"))
+    + ", ends AS (SELECT scene_id, min(east_) AS l, min(north_) AS b, max(east_) AS r, max(north_) AS t FROM "
+    "(SELECT scene_id, east AS east_, north AS north_ FROM rimxy) GROUP BY scene_id), "
+    "cut AS (SELECT *, greatest(l, 399960.0) AS l1, greatest(b, 3690240.0) AS b1, least(r, 509760.0) AS r1, "
+    "least(t, 3800040.0) AS t1 FROM ends) "
+    "SELECT scene_id, CAST(399960 + floor((l1 - 399960) / 10 + 0.5) * 10 AS DOUBLE) AS x0, "
+    "CAST(3800040 - floor((3800040 - t1) / 10 + 0.5) * 10 AS DOUBLE) AS y0, "
+    "CAST(floor((t1 - b1) / 10 + 0.5) AS INT) AS height, CAST(floor((r1 - l1) / 10 + 0.5) AS INT) AS width, "
+    + r("(r1 - l1) * (t1 - b1) / ((r - l) * (t - b))")
+    + " AS coverage FROM cut WHERE l1 < r1 AND b1 < t1"
+)
+
+
+def _report(spark, sf_dir):
+    dem = _dem_catalog(spark, sf_dir).where("epsg IS NOT NULL").select(F.floor(F.col("cloud") * 1000).cast("bigint").alias("bytes"))
+    return rounded(catalog.download_report(fixtures.fetched(spark, sf_dir), dem), "mb")
+
+
+QUERIES["agg20_download_report"] = _report
+ORACLES["agg20_download_report"] = (
+    _SCENES + _FETCHED + "lines AS (SELECT scene_id AS item, sum(bytes) AS bytes FROM fetched GROUP BY scene_id "
+    "UNION ALL SELECT 'DEM tiles', sum(CAST(floor(cloud * 1000) AS BIGINT)) FROM scenes WHERE epsg IS NOT NULL), "
+    "every_ AS (SELECT item, bytes FROM lines UNION ALL SELECT 'Total downloaded', sum(bytes) FROM lines) "
+    "SELECT item, CAST(bytes AS BIGINT) AS bytes, "
+    + r("CAST(bytes AS DOUBLE) / 1048576")
+    + " AS mb FROM every_"
+)

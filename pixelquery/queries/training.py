@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from pixelquery import fixtures
-from pixelquery.functions.geodesy import lonlat_to_utm, utm_to_lonlat
+from pixelquery.functions.geodesy import lonlat_to_utm, point, utm_to_lonlat
 from pixelquery.operators import spatial, stats
 from pixelquery.queries import geodesy_sql, surface
 from pixelquery.queries.common import r, rounded, with_grid
@@ -120,6 +122,40 @@ ORACLES["jon1_pixels_in_many_polygons"] = with_grid(
 )
 
 
+_LONG = 100  # corners of a ring, more than spatial.HEAVY_EDGES
+
+
+def _long_ring_hits(spark, sf_dir):
+    """Pixels in a star of many corners around every customer's area."""
+    grid = fixtures.pixel_grid(spark, sf_dir)
+    areas = fixtures.areas(spark, sf_dir)
+
+    def corner(i):
+        angle = (i % _LONG).cast("double") * (2 * math.pi / _LONG)
+        reach = (F.sin(angle * 9.0) * 0.3 + 1.0) * 5.0
+        return point(F.col("lon") + F.col("dlon") * reach * F.cos(angle), F.col("lat") + F.col("dlat") * reach * F.sin(angle))
+
+    star = F.transform(F.sequence(F.lit(0), F.lit(_LONG)), corner)
+    polygons = spatial.project_polygons(areas.select("area_id", star.alias("ring")))
+    return spatial.label_pixels(_positions(spark, sf_dir), polygons, grid).select("area_id", "row", "col")
+
+
+QUERIES["jon1_pixels_in_long_rings"] = _long_ring_hits
+ORACLES["jon1_pixels_in_long_rings"] = with_grid(
+    "SELECT area_id, r AS row, c AS col FROM hits",
+    geodesy_sql.AREAS_CTE,
+    f"turns AS (SELECT i, CAST(i % {_LONG} AS DOUBLE) * CAST({2 * math.pi / _LONG!r} AS DOUBLE) AS a FROM range(0, {_LONG + 1}) AS t(i))",
+    "ring AS (SELECT area_id, i, lon + dlon * ((sin(a * 9.0) * 0.3 + 1.0) * 5.0) * cos(a) AS plon, "
+    "lat + dlat * ((sin(a * 9.0) * 0.3 + 1.0) * 5.0) * sin(a) AS plat FROM areas, turns)",
+    *geodesy_sql.forward("ring", "plon", "plat", "ringxy"),
+    "edges AS (SELECT a.area_id, a.east AS x1, a.north AS y1, b.east AS x2, b.north AS y2 "
+    "FROM ringxy a JOIN ringxy b ON a.area_id = b.area_id AND b.i = a.i + 1)",
+    "ext AS (SELECT area_id, min(east) AS xmin, max(east) AS xmax, min(north) AS ymin, max(north) AS ymax "
+    "FROM ringxy GROUP BY area_id)",
+    geodesy_sql.inside("grid", "area_id"),
+)
+
+
 def _pixels_per_area(spark, sf_dir):
     hits = _inline_hits(spark, sf_dir).groupBy("desc").agg(F.count("*").alias("pixels"))
     areas = training_areas(spark).select("class", "class_id", "desc")

@@ -29,12 +29,16 @@ def write_area_csv(table: DataFrame, path: str) -> None:
     ordered.coalesce(1).write.csv(path, header=True)
 
 
+def write_scene_metadata(lines: DataFrame, path: str) -> None:
+    """Metadata texts (``scene_key, line``), a folder of text files for each scene."""
+    lines.repartition("scene_key").write.partitionBy("scene_key").text(path)
+
+
 def read_scene_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of ``<path>/<scene_key>/metadata.txt``, with the scene key from the folder name."""
-    key = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
-    return spark.read.text(f"{path}/*/metadata.txt").select(
-        key.alias("scene_key"), F.col("value").alias("line")
-    )
+    """Lines of the text files in ``<path>/<scene_key>/`` (``scene_key=`` may stand before the key)."""
+    key = F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]+)/[^/]+$", 1)
+    texts = spark.read.option("pathGlobFilter", "*.txt").text(f"{path}/*")
+    return texts.select(key.alias("scene_key"), F.col("value").alias("line"))
 
 
 MANIFEST_SCHEMA = "title STRING, path STRING, status STRING, detail STRING"

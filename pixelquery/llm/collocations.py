@@ -9,12 +9,11 @@ cycle closes.  A phrase of k words is complete after k cycles at most, often soo
 Counts are kept by buckets of phrases.  In each step a block asks a bucket once, with all its phrases and
 their counts there; the bucket adds the counts up and answers with the numbers of those phrases that had
 reached the threshold.  Phrases longer than a word are known by the numbers of their two subphrases, so no
-two are taken for one; words are known by 128 bits of their MD5 digest.
+two are taken for one; words are known by 128-bit hashes.
 """
 
 from __future__ import annotations
 
-import hashlib
 from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
@@ -23,6 +22,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -35,20 +35,20 @@ from pixelquery.session import cut_lineage, discard
 FOLD = bytes(
     b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256)
 )
-#: Words of a block; a piece is never cut, so a block may be longer by one piece.
+#: Words of a block, each some 100 bytes of a worker while pairs are counted; a piece is never cut, so a block
+#: may be longer by one piece.
 BLOCK_WORDS = 1 << 20
 #: Words that a scanning task holds in open blocks of all languages.
-OPEN_WORDS = 1 << 21
+OPEN_WORDS = 3 << 19
 #: Blocks whose phrases one bucket holds on average, whatever the number of both.
 BUCKET_SHARE = 4
 ROW = (
-    "kind STRING, g BIGINT, at INT, bucket INT, lang STRING, words ARRAY<BINARY>, codes BINARY, first BINARY, second BINARY, "
+    "kind STRING, g BIGINT, at INT, bucket INT, lang STRING, words BINARY, codes BINARY, first BINARY, second BINARY, "
     "n BINARY, since BINARY, ids BINARY, steps BINARY"
 )
 _FIELDS = pa.schema(
-    [("kind", pa.string()), ("g", pa.int64()), ("at", pa.int32()), ("bucket", pa.int32()), ("lang", pa.string()),
-     ("words", pa.list_(pa.binary()))]
-    + [(c, pa.binary()) for c in ("codes", "first", "second", "n", "since", "ids", "steps")]
+    [("kind", pa.string()), ("g", pa.int64()), ("at", pa.int32()), ("bucket", pa.int32()), ("lang", pa.string())]
+    + [(c, pa.binary()) for c in ("words", "codes", "first", "second", "n", "since", "ids", "steps")]
 )
 
 
@@ -62,6 +62,15 @@ def unpack(body: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(flat.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
+def pack_words(words: Iterable[bytes]) -> bytes:
+    """Words, none of which has a line feed or is empty."""
+    return zstandard.compress(b"\n".join(words), 1)
+
+
+def unpack_words(body: bytes) -> list[bytes]:
+    return zstandard.decompress(body).split()
+
+
 def _batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, _FIELDS)
 
@@ -83,7 +92,7 @@ def blocks(docs: DataFrame, shards: int) -> DataFrame:
             words, codes = open_.pop(lang)
             held -= len(codes)
             number += 1
-            row = {"kind": "block", "g": number, "lang": lang, "words": list(words)}
+            row = {"kind": "block", "g": number, "lang": lang, "words": pack_words(words)}
             return _batch([row | {"codes": pack(np.array(codes, np.int32))}])
 
         for batch in batches:
@@ -131,12 +140,12 @@ def candidates(block: dict, level: int) -> tuple[np.ndarray, ...]:
     """
     codes = unpack(block["codes"], np.int32)
     if level == 1:
-        named = block["lang"].encode() + b"\0"
-        digests = b"".join(hashlib.md5(named + word).digest() for word in block["words"])
-        keys = np.frombuffer(digests, np.int64).reshape(-1, 2)
+        digest, seed = xxhash.xxh128_digest, xxhash.xxh64_intdigest(block["lang"])
+        digests = b"".join([digest(word, seed) for word in unpack_words(block["words"])])
+        keys = np.ascontiguousarray(np.frombuffer(digests, np.int64).reshape(-1, 2).T)
         where = np.flatnonzero(codes)
-        numbers = np.bincount(codes, minlength=len(keys) + 1)[1:]
-        return keys[:, 0], keys[:, 1], np.zeros(len(keys), np.int32), numbers, where, codes[where] - 1
+        numbers = np.bincount(codes, minlength=len(keys[0]) + 1)[1:]
+        return keys[0], keys[1], np.zeros(len(keys[0]), np.int32), numbers, where, codes[where] - 1
     ids, steps = unpack(block["ids"], np.int64), unpack(block["steps"], np.int32)
     left, right = codes[:-1], codes[1:]
     where = np.flatnonzero((left > 0) & (right > 0))
@@ -147,12 +156,31 @@ def candidates(block: dict, level: int) -> tuple[np.ndarray, ...]:
     return ids[a], ids[b], since.astype(np.int32), numbers, where, inverse
 
 
+def mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """64 bits of both keys."""
+    both = first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ second.view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (both ^ both >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+
+
 def bucketed(first: np.ndarray, second: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The bucket of each phrase, and the order of phrases by bucket and keys."""
-    mixed = first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ second.view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)
-    bucket = (mixed * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int32)
-    return bucket, np.lexsort((second, first, bucket))
+    """The bucket of each phrase, and the order of phrases by bucket, else as they are."""
+    bucket = (mixed(first, second) >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)
+    bucket = bucket.astype(np.uint16 if n_buckets <= 1 << 16 else np.int32)
+    return bucket, np.argsort(bucket, kind="stable")
+
+
+def grouped(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal phrases together, and where a new one starts in it."""
+    both = mixed(first, second)
+    order = np.argsort(both)
+    f, s, both = first[order], second[order], both[order]
+    head = np.ones(len(order), bool)
+    head[1:] = (f[1:] != f[:-1]) | (s[1:] != s[:-1])
+    if (head[1:] & (both[1:] == both[:-1])).any():  # different phrases with the same 64 bits
+        order = np.lexsort((second, first))
+        f, s = first[order], second[order]
+        head[1:] = (f[1:] != f[:-1]) | (s[1:] != s[:-1])
+    return order, head
 
 
 def asking(level: int, step: int, shards: int, n_buckets: int, last: bool) -> Callable:
@@ -204,21 +232,21 @@ def counting(step: int, shards: int, least: int) -> Callable:
         )
         since = np.concatenate([unpack(row["since"], np.int32) for row in known + asks])
         sizes = [len(unpack(row["first"], np.int64)) for row in asks]
-        order = np.lexsort((second, first))
-        f, s = first[order], second[order]
-        head = np.ones(len(order), bool)
-        head[1:] = (f[1:] != f[:-1]) | (s[1:] != s[:-1])
+        order, head = grouped(first, second)
         key = np.empty(len(order), np.int64)
         key[order] = np.cumsum(head) - 1
         starts = np.flatnonzero(head)
         total = np.add.reduceat(numbers[order], starts) if len(starts) else numbers[:0]
-        first, second, since = f[starts], s[starts], since[order][starts]
+        first, second, since = (x[order[starts]] for x in (first, second, since))
         ids, steps = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int32)
         if state:
             ids[key[:held]], steps[key[:held]] = unpack(state["ids"], np.int64), unpack(state["steps"], np.int32)
-        out = []
-        for row, part in zip(asks, np.split(key[held:], np.cumsum(sizes)[:-1])):
-            answer = {"kind": "answer", "g": row["g"], "bucket": at}
+        out, asked = [], key[held:]
+        names = np.zeros(len(asked), np.uint8)  # of each phrase, the first block that asks gives the name
+        names[np.unique(asked, return_index=True)[1]] = 1
+        cuts = np.cumsum(sizes)[:-1]
+        for row, part, name in zip(asks, np.split(asked, cuts), np.split(names, cuts)):
+            answer = {"kind": "answer", "g": row["g"], "bucket": at, "first": pack(name)}
             out.append(answer | {"ids": pack(ids[part]), "steps": pack(steps[part])})
         new = np.flatnonzero((total >= least) & (ids == 0))
         ids[new] = (np.int64(at + 1) << 36) + np.count_nonzero(ids) + 1 + np.arange(len(new))
@@ -234,36 +262,44 @@ def counting(step: int, shards: int, least: int) -> Callable:
 def advancing(level: int, n_buckets: int) -> Callable:
     """Blocks with the places of known phrases of ``level`` words in place of shorter ones.
 
-    Rows come sorted by block, its answers before it.
+    The one partition that this reads is a few blocks with their answers, still packed.  Of words, the names that this block gives stay with it.
     """
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        answers: list[dict] = []
+        answers, held = defaultdict(list), []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["kind"] == "answer":
-                    answers.append(row)
-                    continue
-                mine = sorted((a for a in answers if a["g"] == row["g"]), key=lambda a: a["bucket"])
-                answers = []
-                if not mine:
-                    continue
-                first, second, _, _, where, inverse = candidates(row, level)
-                _, order = bucketed(first, second, n_buckets)
-                ids, steps = np.empty(len(order), np.int64), np.empty(len(order), np.int32)
-                ids[order] = np.concatenate([unpack(a["ids"], np.int64) for a in mine])
-                steps[order] = np.concatenate([unpack(a["steps"], np.int32) for a in mine])
-                known = ids > 0
-                if not known.any():
-                    continue
-                code = (np.cumsum(known) * known).astype(np.int32)
-                codes = np.zeros(int(where[-1]) + 1, np.int32)
-                codes[where] = code[inverse]
-                out = {"kind": "block", "g": row["g"], "at": row["at"], "lang": row["lang"], "codes": pack(codes)}
-                out |= {"ids": pack(ids[known]), "steps": pack(steps[known])}
-                if level == 1:
-                    out["words"] = [row["words"][i] for i in np.flatnonzero(known).tolist()]
-                yield _batch([out])
+                    answers[row["g"]].append(row)
+                else:
+                    held.append(row)
+        while held:
+            row = held.pop()
+            mine = sorted(answers.pop(row["g"], []), key=lambda a: a["bucket"])
+            if mine:
+                yield from advanced(row, mine)
+
+    def advanced(row: dict, mine: list[dict]) -> Iterator[pa.RecordBatch]:
+        first, second, _, _, where, inverse = candidates(row, level)
+        _, order = bucketed(first, second, n_buckets)
+        ids, steps = np.empty(len(order), np.int64), np.empty(len(order), np.int32)
+        ids[order] = np.concatenate([unpack(a["ids"], np.int64) for a in mine])
+        steps[order] = np.concatenate([unpack(a["steps"], np.int32) for a in mine])
+        known = ids > 0
+        if not known.any():
+            return
+        code = (np.cumsum(known) * known).astype(np.int32)
+        codes = np.zeros(int(where[-1]) + 1, np.int32)
+        codes[where] = code[inverse]
+        out = {"kind": "block", "g": row["g"], "at": row["at"], "lang": row["lang"], "codes": pack(codes)}
+        out |= {"ids": pack(ids[known]), "steps": pack(steps[known])}
+        if level == 1:
+            names = np.zeros(len(order), bool)
+            names[order] = np.concatenate([unpack(a["first"], np.uint8) for a in mine]) > 0
+            names = np.flatnonzero(names & known)
+            words = unpack_words(row["words"])
+            out |= {"words": pack_words([words[i] for i in names.tolist()]), "first": pack(ids[names])}
+        yield _batch([out])
 
     return rows
 
@@ -306,9 +342,7 @@ def scans(stored: DataFrame, least: int, longest: int, shards: int) -> tuple[lis
                 break
             met = rows.unionByName(exchanged.where("kind = 'answer'").withColumn("at", places[shard]))
             rows = cut_lineage(
-                met.repartitionById(max(1, sizes.get(shard, 0)), "at")
-                .sortWithinPartitions("g", "kind")
-                .mapInArrow(advancing(level, n_buckets), ROW),
+                met.repartitionById(max(1, sizes.get(shard, 0)), "at").mapInArrow(advancing(level, n_buckets), ROW),
                 "places",
             )
             discard(*([old] if old else []))
@@ -341,17 +375,17 @@ def _complete(state: DataFrame) -> DataFrame:
 
 
 def _named(tables: list[DataFrame]) -> DataFrame:
-    """``id, lang, phrase`` of the known words."""
+    """``id, lang, phrase`` of the known words, each named by one block of each shard that has it."""
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids = pa.array(unpack(row["ids"], np.int64))
-                words = pa.array(row["words"], pa.binary()).cast(pa.string())
+                ids = pa.array(unpack(row["first"], np.int64))
+                words = pa.array(unpack_words(row["words"]), pa.binary()).cast(pa.string())
                 lang = pa.array([row["lang"]] * len(words), pa.string())
                 yield pa.RecordBatch.from_arrays([ids, lang, words], ["id", "lang", "phrase"])
 
-    every = reduce(DataFrame.union, [t.select("ids", "lang", "words") for t in tables])
+    every = reduce(DataFrame.union, [t.select("first", "lang", "words") for t in tables])
     named = every.mapInArrow(rows, "id BIGINT, lang STRING, phrase STRING")
     return named.groupBy("id").agg(F.first("lang").alias("lang"), F.first("phrase").alias("phrase"))
 

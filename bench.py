@@ -1,13 +1,16 @@
 """Times the headline queries and prints one JSON line.
 
-BENCH_SF_DIR picks the tables (default /root/testdata/sf0.1), BENCH_CPUS the local cores (default 8).
+BENCH_SF_DIR picks the tables (default /root/testdata/sf0.1), BENCH_CPUS the local cores (default 8).  Each
+query is reported on standard error as it ends, and a run that is told to stop prints what it has.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import signal
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -47,6 +50,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pixelquery-bench-"))  # one machine here
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -61,23 +65,35 @@ def run(query, spark, sf_dir) -> float:
     return round(time.perf_counter() - start, 3)
 
 
+def report(times: dict[str, float], sf_dir: str, pixels: int) -> None:
+    out = {
+        "metric": "headline_queries_total",
+        "value": round(sum(times.values()), 3),
+        "unit": "sec",
+        "queries": times,
+        "sf": sf_dir.rsplit("sf", 1)[-1],
+        "pixels": pixels,
+    }
+    missing = [name for name in HEADLINE if name not in times]
+    print(json.dumps(out | ({"not_ended": missing} if missing else {})), flush=True)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     spark = session(os.environ.get("BENCH_CPUS", "8"))
+    pixels = fixtures.table(spark, sf_dir, "orders").count()
     run(QUERIES["prj4_ndvi"], spark, sf_dir)  # starts the JVM's first job and code generation
-    times = {name: run(QUERIES[name], spark, sf_dir) for name in HEADLINE}
-    print(
-        json.dumps(
-            {
-                "metric": "headline_queries_total",
-                "value": round(sum(times.values()), 3),
-                "unit": "sec",
-                "queries": times,
-                "sf": sf_dir.rsplit("sf", 1)[-1],
-                "pixels": fixtures.table(spark, sf_dir, "orders").count(),
-            }
-        )
-    )
+    times: dict[str, float] = {}
+
+    def stopped(*_) -> None:
+        report(times, sf_dir, pixels)
+        os._exit(1)
+
+    signal.signal(signal.SIGTERM, stopped)
+    for name in HEADLINE:
+        times[name] = run(QUERIES[name], spark, sf_dir)
+        print(f"{name} {times[name]}", file=sys.stderr, flush=True)
+    report(times, sf_dir, pixels)
     spark.stop()
 
 

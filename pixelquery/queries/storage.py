@@ -6,9 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pixelquery import fixtures
+from pixelquery.functions import geodesy
 from pixelquery.operators import classify, ml, outlines, spatial
 from pixelquery.plans import landcover
-from pixelquery.queries import classes, learning, spectral, training
+from pixelquery.queries import classes, geodesy_sql, learning, spectral, training
 from pixelquery.queries import regions as region_queries
 from pixelquery.queries.common import r, rounded, with_grid, with_grid_recursive
 from pixelquery.schema import BAND_NAMES, SPECTRAL_BANDS
@@ -120,9 +121,46 @@ _BOX_SQL = training.ORACLES["prj30_boxes"].replace(
     "SELECT area_id, round_even",
     "SELECT class_ AS class, cid AS class_id, desc_ AS desc, round_even",
 )
-for _key in ("snk2_geojson_polygons", "src9_geojson_scan"):
-    QUERIES[_key] = _geojson
-    ORACLES[_key] = _BOX_SQL
+QUERIES["snk2_geojson_polygons"] = _geojson
+ORACLES["snk2_geojson_polygons"] = _BOX_SQL
+
+
+def _feature_collections(spark, sf_dir):
+    """Documents with holes (even areas) and second parts (odd ones), scanned by pieces of a few kilobytes."""
+    path = scratch_path(spark, "collections")
+    areas = fixtures.areas(spark, sf_dir)
+    lon, lat, dlon, dlat = (F.col(c) for c in ("lon", "lat", "dlon", "dlat"))
+    even = F.col("area_id") % 2 == 0
+    half, shift = F.when(even, 0.5).otherwise(1.0), F.when(even, 0.0).otherwise(3.0)
+
+    def box(x, dx, dy):
+        ring = geodesy.box_ring(x - dx, lat - dy, x + dx, lat + dy)
+        return F.transform(ring, lambda p: F.array(p["x"], p["y"]))
+
+    outer, second = box(lon, dlon, dlat), box(lon + dlon * shift, dlon * half, dlat * half)
+    holed, parts = F.array(outer, second), F.array(F.array(outer), F.array(second))
+    shape = lambda kind, nested: F.to_json(F.struct(F.lit(kind).alias("type"), nested.alias("coordinates")))
+    geometry = F.when(even, shape("Polygon", holed)).otherwise(shape("MultiPolygon", parts))
+    about = F.to_json(F.struct("class", "class_id", "desc"))
+    feature = F.concat(F.lit('{"type": "Feature", "properties": '), about, F.lit(', "geometry": '), geometry, F.lit("}"))
+    vector.write_feature_collections(areas.select(feature.alias("value")), path)
+    corners = vector.scan_geojson(spark, path).select("class", "class_id", "desc", F.posexplode("ring").alias("i", "p"))
+    flat = corners.select("class", "class_id", "desc", "i", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+    return rounded(flat, "x", "y")
+
+
+QUERIES["src9_geojson_scan"] = _feature_collections
+ORACLES["src9_geojson_scan"] = (
+    f"WITH {geodesy_sql.AREAS_CTE}, "
+    "k(i, sx, sy) AS (VALUES (0, 1, -1), (1, 1, 1), (2, -1, 1), (3, -1, -1), (4, 1, -1)), "
+    "pts AS (SELECT area_id, i, lon + sx * dlon AS x, lat + sy * dlat AS y FROM areas, k "
+    "UNION ALL SELECT area_id, i + 5, CASE WHEN area_id % 2 = 0 THEN lon + sx * (dlon * 0.5::DOUBLE) "
+    "ELSE lon + dlon * 3.0::DOUBLE + sx * dlon END, CASE WHEN area_id % 2 = 0 THEN lat + sy * (dlat * 0.5::DOUBLE) "
+    "ELSE lat + sy * dlat END FROM areas, k "
+    "UNION ALL SELECT area_id, 10, lon + dlon, lat - dlat FROM areas) "
+    f"SELECT class_ AS class, cid AS class_id, desc_ AS desc, CAST(i AS INT) AS i, {r('x')} AS x, {r('y')} AS y "
+    "FROM pts JOIN areas USING (area_id)"
+)
 
 
 def _region_layer(spark, sf_dir):
@@ -164,9 +202,26 @@ def _training_csv(spark, sf_dir):
     return rounded(tables.read_training_csv(spark, path), *BAND_NAMES)
 
 
-for _key in ("snk3_training_csv", "src10_training_csv_scan"):
-    QUERIES[_key] = _training_csv
-    ORACLES[_key] = training.ORACLES["training_table"]
+QUERIES["snk3_training_csv"] = _training_csv
+ORACLES["snk3_training_csv"] = training.ORACLES["training_table"]
+
+
+def _training_scan(spark, sf_dir):
+    """The written rows, scanned for a few columns: rows and means of each class."""
+    path = scratch_path(spark, "training-scan")
+    tables.write_training_csv(training.training_rows(spark, sf_dir), path)
+    means = [F.avg(b).alias(b) for b in ("B08", "NDVI", "Elevation")]
+    found = tables.read_training_csv(spark, path).groupBy("class", "class_id").agg(F.count("*").alias("pixels"), *means)
+    return rounded(found, "B08", "NDVI", "Elevation")
+
+
+QUERIES["src10_training_csv_scan"] = _training_scan
+ORACLES["src10_training_csv_scan"] = with_grid(
+    "SELECT class, class_id, count(*) AS pixels, "
+    + ", ".join(f"{r(f'avg({b})')} AS {b}" for b in ("B08", "NDVI", "Elevation"))
+    + " FROM train GROUP BY class, class_id",
+    *training.TRAINING_CTES,
+)
 
 
 def _area_csv(spark, sf_dir):

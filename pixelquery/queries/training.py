@@ -282,7 +282,7 @@ def training_rows(spark, sf_dir, keep=()):
     return spatial.training_table(stack, _area_polygons(spark, sf_dir), grid, keep=keep)
 
 
-_TRAINING = (
+TRAINING_CTES = (
     *surface.STACK_CTES,
     *_AREA_RINGS,
     geodesy_sql.inside("grid", "area_id"),
@@ -302,7 +302,7 @@ QUERIES["training_table"] = lambda spark, sf_dir: rounded(
 )
 ORACLES["training_table"] = with_grid(
     "SELECT class, class_id, " + ", ".join(f"{r(b)} AS {b}" for b in BAND_NAMES) + " FROM train",
-    *_TRAINING,
+    *TRAINING_CTES,
 )
 
 QUERIES["agg4_class_distribution"] = lambda spark, sf_dir: rounded(
@@ -311,7 +311,7 @@ QUERIES["agg4_class_distribution"] = lambda spark, sf_dir: rounded(
 ORACLES["agg4_class_distribution"] = with_grid(
     f"SELECT class, count(*) AS pixels, {r('100.0 * count(*) / sum(count(*)) OVER ()')} AS pct "
     "FROM train GROUP BY class",
-    *_TRAINING,
+    *TRAINING_CTES,
 )
 QUERIES["agg6_class_feature_means"] = lambda spark, sf_dir: rounded(
     stats.class_feature_means(training_rows(spark, sf_dir)), *KEY_FEATURES
@@ -320,7 +320,7 @@ ORACLES["agg6_class_feature_means"] = with_grid(
     "SELECT class, "
     + ", ".join(f"{r(f'avg({f})')} AS {f}" for f in KEY_FEATURES)
     + " FROM train GROUP BY class",
-    *_TRAINING,
+    *TRAINING_CTES,
 )
 QUERIES["agg7_feature_statistics"] = lambda spark, sf_dir: rounded(
     stats.feature_statistics(training_rows(spark, sf_dir), BAND_NAMES), "min", "max", "mean", "std"
@@ -331,10 +331,10 @@ ORACLES["agg7_feature_statistics"] = with_grid(
         f"{r(f'avg({b})')} AS mean, {r(f'stddev_samp({b})')} AS std FROM train"
         for b in BAND_NAMES
     ),
-    *_TRAINING[:-1],
-    _TRAINING[-1].replace("train AS (", "train AS MATERIALIZED (", 1),
+    *TRAINING_CTES[:-1],
+    TRAINING_CTES[-1].replace("train AS (", "train AS MATERIALIZED (", 1),
 )
 QUERIES["agg23_distinct_classes"] = lambda spark, sf_dir: stats.distinct_classes(
     training_rows(spark, sf_dir)
 )
-ORACLES["agg23_distinct_classes"] = with_grid("SELECT DISTINCT class FROM train", *_TRAINING)
+ORACLES["agg23_distinct_classes"] = with_grid("SELECT DISTINCT class FROM train", *TRAINING_CTES)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,6 +94,44 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     return documents.select(F.explode("features").alias("f")).select(*_polygon_columns("f"))
 
 
+def write_feature_collections(features: DataFrame, path: str) -> None:
+    """Feature texts (``value``) as FeatureCollection documents, one for each task."""
+
+    def documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = '{"type": "FeatureCollection", "features": ['
+        for batch in batches:
+            lines = []
+            for text in batch.column(0).to_pylist():
+                lines.append(before + text)
+                before = ", "
+            if lines:
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+        if before == ", ":
+            yield pa.RecordBatch.from_arrays([pa.array(["]}"])], ["value"])
+
+    features.select("value").mapInArrow(documents, "value STRING").write.text(path)
+
+
+def scan_geojson(spark: SparkSession, path: str) -> DataFrame:
+    """FeatureCollection documents of any size, read in parts.
+
+    The text reader splits files at the mark that every feature has and a collection has not, so a document
+    is scanned by as many tasks as it has blocks.  What follows a mark up to the next one holds one feature;
+    its ``type`` must be its first member, as writers put it, and no other text may be the bare word
+    "Feature" in quotes: otherwise this is an error, and ``read_geojson`` reads the document in one task.
+    """
+    records = spark.read.option("lineSep", '"Feature"').text(path)
+    rest = F.ltrim(F.regexp_replace("value", r"^\s+", ""))
+    feature = F.from_json(F.concat(F.lit('{"type": "Feature"'), rest), _FEATURE)
+    before_any = rest.startswith("{") | (rest == "")
+    # filters may be evaluated in any order, so the head of a document is told apart here as well
+    checked = F.when(before_any, F.lit(None).cast(_FEATURE)).when(feature["geometry"].isNotNull(), feature).otherwise(
+        F.raise_error(F.lit("a feature does not start with its type")).cast(_FEATURE)
+    )
+    features = records.where(~before_any).select(checked.alias("f"))
+    return features.select(*_polygon_columns("f"))
+
+
 def lines_to_geojson(lines: DataFrame) -> DataFrame:
     """Boundary lines (``points``) as LineString features, one per row."""
     properties = [c for c in lines.columns if c != "points"]

@@ -32,6 +32,13 @@ SAMPLE = [
     "jon2_polygons_on_raster",
     "jon2_polygons_skipped",
     "snk2_geojson_polygons",
+    "src9_geojson_scan",
+    "src7_cloud_from_files",
+    "prj26_reference_grids",
+    "agg18_region_rings",
+    "agg19_simplified_boundaries",
+    "snk7_region_layer",
+    "flt2_scored_pixels",
 ]
 
 

@@ -184,3 +184,33 @@ def test_holes_and_parts_of_a_geojson_layer(spark):
     hits = spatial.label_pixels(grid.cells(spark), layer.select("class", "class_id", "ring"), grid)
     found = {r["class"]: r["count"] for r in hits.groupBy("class").count().collect()}
     assert found == {"Polygon": 36 - 4, "MultiPolygon": 36 - 4 + 4}
+
+
+def test_collections_are_scanned_in_parts(spark, tmp_path):
+    """The same rows from one and from many splits, holes and parts included."""
+    box = lambda x, y, d: [[x, y], [x + d, y], [x + d, y + d], [x, y + d], [x, y]]
+    features = [
+        {
+            "type": "Feature",
+            "properties": {"class": "Urban", "class_id": k, "desc": 'a "quoted" {name}, [x]', "width_m": 1.0, "height_m": 2.0},
+            "geometry": {"type": "MultiPolygon", "coordinates": [[box(k, 0, 1), box(k + 0.2, 0.2, 0.3)], [box(k, 5, 1)]]}
+            if k % 2
+            else {"type": "Polygon", "coordinates": [box(k, 0, 1), box(k + 0.2, 0.2, 0.3)]},
+        }
+        for k in range(300)
+    ]
+    for indent in (None, 1):
+        folder = tmp_path / f"layer{indent}"
+        folder.mkdir()
+        (folder / "a.geojson").write_text(json.dumps({"type": "FeatureCollection", "name": "x", "features": features}, indent=indent))
+        whole = sorted(map(str, vector.read_geojson(spark, str(folder)).collect()))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+        try:
+            parts = vector.scan_geojson(spark, str(folder))
+            assert parts.rdd.getNumPartitions() > 4
+            assert sorted(map(str, parts.collect())) == whole and len(whole) == 300
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    (tmp_path / "odd.geojson").write_text('{"type": "FeatureCollection", "features": [{"geometry": null, "type": "Feature"}]}')
+    with pytest.raises(Exception, match="does not start with its type"):
+        vector.scan_geojson(spark, str(tmp_path / "odd.geojson")).collect()

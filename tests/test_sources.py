@@ -214,3 +214,13 @@ def test_collections_are_scanned_in_parts(spark, tmp_path):
     (tmp_path / "odd.geojson").write_text('{"type": "FeatureCollection", "features": [{"geometry": null, "type": "Feature"}]}')
     with pytest.raises(Exception, match="does not start with its type"):
         vector.scan_geojson(spark, str(tmp_path / "odd.geojson")).collect()
+
+
+def test_reference_grid_of_the_study_area(spark):
+    tile = Grid(x0=399960.0, y0=3800040.0, res=10.0, height=10980, width=10980)
+    box = "named_struct('west', -112.5D, 'south', 33.2D, 'east', -111.7D, 'north', 33.7D) AS bbox"
+    scenes = spark.range(1).selectExpr("'a' AS scene_id", box)
+    far = spark.range(1).selectExpr("'far'", box.replace("-112.5D", "-100D").replace("-111.7D", "-99D"))
+    found = catalog.reference_grids(scenes.union(far), tile).collect()
+    assert [(r.scene_id, r.x0, r.y0, r.height, r.width) for r in found] == [("a", 399960.0, 3729900.0, 3966, 3517)]
+    assert 0.33 < found[0].coverage < 0.34  # 47 % of the width, 70 % of the height

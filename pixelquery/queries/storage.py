@@ -255,7 +255,7 @@ def _published(spark, sf_dir):
     )
     sizes = None
     for title in ("classes", "scenes"):
-        size = spark.read.parquet(f"{root}/{title}").agg(F.count("*").alias("rows"))
+        size = tables.published(spark, root, title).agg(F.count("*").alias("rows"))
         size = size.select(F.lit(title).alias("title"), "rows")
         sizes = size if sizes is None else sizes.unionByName(size)
     return manifest.select("title", "status").join(sizes, "title", "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,26 +43,37 @@ def read_scene_metadata(spark: SparkSession, path: str) -> DataFrame:
     return texts.select(key.alias("scene_key"), F.col("value").alias("line"))
 
 
-MANIFEST_SCHEMA = "title STRING, path STRING, status STRING, detail STRING"
+MANIFEST_SCHEMA = "title STRING, path STRING, status STRING, detail STRING, published BIGINT"
 
 
 def publish(
     spark: SparkSession, items: dict[str, Callable[[], DataFrame]], root: str
 ) -> DataFrame:
-    """Replace each titled dataset under ``root`` and report what happened, item by item.
+    """Publish a new version of each titled dataset under ``root`` and report what happened, item by item.
 
-    A failing item is recorded and does not stop the others.  The manifest is appended to
-    ``root/_manifest``.
+    A version is a folder of its own; readers find it by its row in ``root/_manifest``, which is appended
+    when all its files are there.  A build that dies while it writes leaves the version before it as it
+    was.  A failing item is recorded and does not stop the others.
     """
     results = []
     for title, build in items.items():
-        path = f"{root}/{title}"
+        path = f"{root}/{title}/v-{uuid.uuid4().hex}"
         try:
-            build().write.mode("overwrite").parquet(path)
-            results.append((title, path, "PUBLISHED", ""))
+            build().write.parquet(path)
+            status, detail = "PUBLISHED", ""
         except Exception as error:  # noqa: BLE001 - any failure becomes a manifest entry
-            detail = (str(error).splitlines() or [""])[0]
-            results.append((title, path, "FAILED", detail))
+            status, detail = "FAILED", (str(error).splitlines() or [""])[0]
+        results.append((title, path, status, detail, time.time_ns()))
     manifest = spark.createDataFrame(results, MANIFEST_SCHEMA)
     manifest.write.mode("append").parquet(f"{root}/_manifest")
     return manifest
+
+
+def published(spark: SparkSession, root: str, title: str) -> DataFrame:
+    """The dataset's latest version that was published whole."""
+    manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/_manifest")
+    whole = manifest.where((F.col("title") == title) & (F.col("status") == "PUBLISHED"))
+    path = whole.agg(F.max_by("path", "published")).first()[0]
+    if path is None:
+        raise ValueError(f"not published: {title}")
+    return spark.read.parquet(path)

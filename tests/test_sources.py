@@ -114,11 +114,23 @@ def test_publish_replaces_and_reports(spark, tmp_path):
     tables.publish(spark, {"a": lambda: spark.range(3), "b": fail}, root)
     result = tables.publish(spark, {"a": lambda: spark.range(2)}, root)
     assert [(r.title, r.status) for r in result.collect()] == [("a", "PUBLISHED")]
-    assert spark.read.parquet(f"{root}/a").count() == 2
+    assert tables.published(spark, root, "a").count() == 2
     log = {(r.title, r.status, r.detail) for r in spark.read.parquet(f"{root}/_manifest").collect()}
     assert ("b", "FAILED", "no connection") in log and len(log) == 2
 
 
+def test_a_build_that_dies_while_writing_leaves_the_version_before(spark, tmp_path):
+    root = str(tmp_path / "pub")
+    tables.publish(spark, {"a": lambda: spark.range(3)}, root)
+    before = tables.published(spark, root, "a")
+    dies = lambda: spark.range(0, 9, 1, 3).selectExpr("IF(id > 7, raise_error('lost'), id) AS id")
+    result = tables.publish(spark, {"a": dies}, root).first()
+    assert result.status == "FAILED"
+    assert tables.published(spark, root, "a").count() == before.count() == 3
+    with pytest.raises(ValueError, match="not published: b"):
+        tables.published(spark, root, "b")
+
+
 def test_intermediate_tables_use_the_session_folder(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
     table = cut_lineage(spark.range(5), "t")

@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from pixelquery.functions.reflectance import clamp
 from pixelquery.schema import KEY_FEATURES, REPORT_CLASS_ORDER
+from pixelquery.session import cut_lineage, discard
 
 
 def _long_form(df: DataFrame, key: str, columns: Sequence[str], measures) -> DataFrame:
@@ -64,29 +65,93 @@ def feature_statistics(df: DataFrame, features: Sequence[str]) -> DataFrame:
     )
 
 
+#: A rank is first looked for between the approximate quantiles this far from it on both sides.
+MARGIN = 0.002
+
+
+def _bracketed(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
+) -> tuple[dict, DataFrame, dict[tuple[str, int], tuple[float, float, int]], set[tuple[str, int]]]:
+    """Counts and extremes, the stored values near the wanted ranks, the interval of each rank there with the
+    values below it, and the ranks that are not there.
+
+    Two scans of ``df``: one makes a quantile summary of bounded error in the tasks, one writes the values
+    inside the brackets and, as an observation on the same job, counts those below.
+    """
+    shares = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-MARGIN, MARGIN)})
+    head = df.agg(
+        *[f(c).alias(f"{f.__name__}|{c}") for c in columns for f in (F.count, F.min, F.max)],
+        *[F.percentile_approx(F.col(c).cast("double"), shares, 10_000).alias(f"near|{c}") for c in columns],
+    ).first()
+    brackets: dict[tuple[str, float], tuple[float, float]] = {}
+    for c in columns:
+        if head[f"count|{c}"]:
+            ends = {0.0: float(head[f"min|{c}"]), 1.0: float(head[f"max|{c}"])}
+            at = dict(zip(shares, head[f"near|{c}"])) | ends
+            for p in probs:
+                brackets[c, p] = at[max(0.0, p - MARGIN)], at[min(1.0, p + MARGIN)]
+    keys = sorted(brackets)
+    below, entries, seen = [], [], Observation()
+    for i, (c, p) in enumerate(keys):
+        (low, high), v = brackets[c, p], F.col(c).cast("double")
+        below += [F.count_if(v < low).alias(f"below{i}"), F.count_if((v >= low) & (v <= high)).alias(f"in{i}")]
+        entries.append(F.when((v >= low) & (v <= high), F.struct(F.lit(i).alias("i"), v.alias("v"))))
+    if not keys:
+        return head.asDict(), df.sparkSession.range(0), {}, set()
+    near = df.observe(seen, *below).select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL")
+    near = cut_lineage(near.select("e.i", "e.v"), "near")
+    counts, open_, missed = seen.get, {}, set()
+    for i, (c, p) in enumerate(keys):
+        n = head[f"count|{c}"]
+        for rank in {math.floor((n - 1) * p), math.ceil((n - 1) * p)}:
+            if counts[f"below{i}"] <= rank < counts[f"below{i}"] + counts[f"in{i}"]:
+                open_[f"k{i}", rank] = (*brackets[c, p], counts[f"below{i}"])
+            else:
+                missed.add((c, rank))
+    names = {f"k{i}": c for i, (c, _) in enumerate(keys)}
+    one = near.select(*[F.when(F.col("i") == i, F.col("v")).alias(f"k{i}") for i in range(len(keys))])
+    return head.asDict() | {"names": names}, one, open_, missed
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], buckets: int = 1024
 ) -> dict[str, list[float | None]]:
-    """Exact percentiles with linear interpolation, NULLs ignored.
+    """Exact percentiles with linear interpolation, NULLs ignored, in two scans of ``df``.
+
+    A quantile summary brackets each wanted rank, and the values inside the brackets (some thousandths of
+    all) are stored with the numbers of values below.  A rank outside its bracket, as may be in small
+    tables, is looked for among all values.
+    """
+    head, near, open_, missed = _bracketed(df, columns, probs)
+    found = {(head["names"][i], rank): v for (i, rank), v in _narrowed(near, open_, buckets).items()}
+    discard(near)
+    whole = {(c, rank): (float(head[f"min|{c}"]), float(head[f"max|{c}"]), 0) for c, rank in missed}
+    settled = found | _narrowed(df, whole, buckets)
+    out: dict[str, list[float | None]] = {}
+    for c in columns:
+        n = head[f"count|{c}"]
+        out[c] = []
+        for p in probs:
+            if not n:
+                out[c].append(None)
+                continue
+            position = (n - 1) * p
+            low, high = settled[c, math.floor(position)], settled[c, math.ceil(position)]
+            out[c].append(low + (high - low) * (position - math.floor(position)))
+    return out
+
+
+def _narrowed(
+    df: DataFrame, open_: dict[tuple[str, int], tuple[float, float, int]], buckets: int
+) -> dict[tuple[str, int], float]:
+    """The values of ranks, each known to lie in an interval of a column with so many values below.
 
     Each pass counts the values of the still open intervals in ``buckets`` equal parts and narrows
     every wanted rank to the one part that holds it; a part with a single distinct value settles its
     rank.  A pass is a map-side-combined aggregate that returns at most ``buckets`` rows per rank, so
     neither a task nor the driver ever holds the values themselves, however skewed they are.
     """
-    head = df.agg(
-        *[f(c).alias(f"{f.__name__}|{c}") for c in columns for f in (F.count, F.min, F.max)]
-    ).first()
-
     settled: dict[tuple[str, int], float] = {}
-    open_: dict[tuple[str, int], tuple[float, float, int]] = {}
-    for c in columns:
-        n, low, high = (head[f"{f}|{c}"] for f in ("count", "min", "max"))
-        for p in probs:
-            if n:
-                for rank in {math.floor((n - 1) * p), math.ceil((n - 1) * p)}:
-                    open_[c, rank] = (float(low), float(high), 0)
-
     while open_:
         for key, (low, high, _) in list(open_.items()):
             if low == high:
@@ -127,18 +192,7 @@ def exact_quantiles(
                     break
                 below += r["n"]
 
-    out: dict[str, list[float | None]] = {}
-    for c in columns:
-        n = head[f"count|{c}"]
-        out[c] = []
-        for p in probs:
-            if not n:
-                out[c].append(None)
-                continue
-            position = (n - 1) * p
-            low, high = settled[c, math.floor(position)], settled[c, math.ceil(position)]
-            out[c].append(low + (high - low) * (position - math.floor(position)))
-    return out
+    return settled
 
 
 def exact_median(df: DataFrame, column: str) -> float | None:

@@ -2,6 +2,11 @@
 
 Every stage takes the session, the documents that the stage before kept, and the folder of the tables.
 All but the last return the columns of ``documents``; ``run`` stores each stage's rows before the next.
+
+Null texts are empty texts.  The classifier scores them like any other, so they stay or go by their score.
+Null ids are kept, and of copies they go first; repeated rows are copies of each other, of which one stays.
+The mix takes nothing from texts without words, and packing makes one piece of each text that is left, however
+short.  Empty tables give no rows at any stage.
 """
 
 from __future__ import annotations

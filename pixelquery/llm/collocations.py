@@ -40,8 +40,11 @@ FOLD = bytes(
 BLOCK_WORDS = 1 << 20
 #: Words that a scanning task holds in open blocks of all languages.
 OPEN_WORDS = 3 << 19
-#: Blocks whose phrases one bucket holds on average, whatever the number of both.
-BUCKET_SHARE = 4
+#: Blocks whose phrases one bucket holds on average, whatever the number of both; of phrases of three words and
+#: more, which are far fewer, it holds ``SPARSE`` times as many.
+BUCKET_SHARE, SPARSE = 8, 8
+#: Blocks that one task brings together with their answers, one after the other.
+PLACE_SHARE = 4
 ROW = (
     "kind STRING, g BIGINT, at INT, bucket INT, lang STRING, words BINARY, codes BINARY, first BINARY, second BINARY, "
     "n BINARY, since BINARY, ids BINARY, steps BINARY"
@@ -207,7 +210,7 @@ def asking(level: int, step: int, shards: int, n_buckets: int, last: bool) -> Ca
     return rows
 
 
-def counting(step: int, shards: int, least: int) -> Callable:
+def counting(level: int, step: int, shards: int, least: int) -> Callable:
     """A bucket's phrases after a step, and its answers to the blocks from before the step.
 
     The one partition that this reads is one bucket.  ``g`` of the new state says how many phrases have
@@ -242,8 +245,9 @@ def counting(step: int, shards: int, least: int) -> Callable:
         if state:
             ids[key[:held]], steps[key[:held]] = unpack(state["ids"], np.int64), unpack(state["steps"], np.int32)
         out, asked = [], key[held:]
-        names = np.zeros(len(asked), np.uint8)  # of each phrase, the first block that asks gives the name
-        names[np.unique(asked, return_index=True)[1]] = 1
+        names = np.zeros(len(asked), np.uint8)  # of each word, the first block that asks gives the name
+        if level == 1:
+            names[np.unique(asked, return_index=True)[1]] = 1
         cuts = np.cumsum(sizes)[:-1]
         for row, part, name in zip(asks, np.split(asked, cuts), np.split(names, cuts)):
             answer = {"kind": "answer", "g": row["g"], "bucket": at, "first": pack(name)}
@@ -262,7 +266,8 @@ def counting(step: int, shards: int, least: int) -> Callable:
 def advancing(level: int, n_buckets: int) -> Callable:
     """Blocks with the places of known phrases of ``level`` words in place of shorter ones.
 
-    The one partition that this reads is a few blocks with their answers, still packed.  Of words, the names that this block gives stay with it.
+    The one partition that this reads is a few blocks with their answers, still packed.  Of words, the names
+    that this block gives stay with it.
     """
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,8 +318,9 @@ def scans(stored: DataFrame, least: int, longest: int, shards: int) -> tuple[lis
     """
     fields = [f.strip().split(" ", 1)[0] for f in ROW.split(", ")]
     sizes = dict(stored.groupBy("shard").count().collect())  # one row for each shard
-    n_buckets = max(1, -(-sum(sizes.values()) // BUCKET_SHARE))
-    places = [F.pmod(F.xxhash64("g"), F.lit(max(1, sizes.get(s, 0)))).cast("int") for s in range(shards)]
+    dense = max(1, -(-sum(sizes.values()) // BUCKET_SHARE))
+    n_places = [max(1, -(-sizes.get(s, 0) // PLACE_SHARE)) for s in range(shards)]
+    places = [F.pmod(F.xxhash64("g"), F.lit(n)).cast("int") for n in n_places]
     entering = [
         stored.where(F.col("shard") == s).withColumn("at", places[s]).select(*fields) for s in range(shards)
     ]
@@ -326,10 +332,11 @@ def scans(stored: DataFrame, least: int, longest: int, shards: int) -> tuple[lis
         rows, passing = entering[shard], []
         for level in range(max(1, cycle), longest + 1):
             k = level - 1
+            n_buckets = dense if level < 3 else -(-dense // SPARSE)
             asks = rows.mapInArrow(asking(level, step, shards, n_buckets, level == longest), ROW)
             meet = asks if states[k] is None else asks.unionByName(states[k])
             exchanged = cut_lineage(
-                meet.repartitionById(n_buckets, "at").mapInArrow(counting(step, shards, least), ROW), "phrases"
+                meet.repartitionById(n_buckets, "at").mapInArrow(counting(level, step, shards, least), ROW), "phrases"
             )
             before, old = known[k], kept[k]
             states[k], kept[k] = exchanged.where("kind = 'state'"), exchanged
@@ -342,7 +349,7 @@ def scans(stored: DataFrame, least: int, longest: int, shards: int) -> tuple[lis
                 break
             met = rows.unionByName(exchanged.where("kind = 'answer'").withColumn("at", places[shard]))
             rows = cut_lineage(
-                met.repartitionById(max(1, sizes.get(shard, 0)), "at").mapInArrow(advancing(level, n_buckets), ROW),
+                met.repartitionById(n_places[shard], "at").mapInArrow(advancing(level, n_buckets), ROW),
                 "places",
             )
             discard(*([old] if old else []))

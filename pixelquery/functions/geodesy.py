@@ -1,13 +1,15 @@
 """WGS84 <-> UTM by the Krüger series in n, to third order (PRJ26), and box helpers (PRJ30).
 
 The series is written once over a namespace of elementary functions: ``pyspark.sql.functions`` gives
-Column expressions, ``math`` gives floats for driver-side constants.
+Column expressions, ``math`` gives floats for driver-side constants, ``numpy`` arrays inside tasks.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -188,20 +190,29 @@ def projected_outline(
 def projected_bounds(west: Column, south: Column, east: Column, north: Column, zone: int = 12, between: int = 21) -> Column:
     """``left, bottom, right, top`` in UTM of a lon/lat box, with ``between`` more points on each side.
 
-    The sides of a box are curves on the map, so corners alone would cut off what bulges out.
+    The sides of a box are curves on the map, so corners alone would cut off what bulges out.  All points
+    are projected, a batch of boxes at once; a side without one of its coordinates counts for nothing.
     """
-    steps = F.sequence(F.lit(0), F.lit(between + 1))
-    share = lambda i: i.cast("double") / float(between + 1)
-    along = lambda a, b, i: a + (b - a) * share(i)
-    sides = (
-        F.transform(steps, lambda i: point(along(west, east, i), south)),
-        F.transform(steps, lambda i: point(east, along(south, north, i))),
-        F.transform(steps, lambda i: point(along(west, east, i), north)),
-        F.transform(steps, lambda i: point(west, along(south, north, i))),
-    )
-    # as an exploded array the projected points are evaluated once
-    outline = project_ring(F.concat(*sides), zone)
-    return F.struct(
-        F.array_min(outline["x"]).alias("left"), F.array_min(outline["y"]).alias("bottom"),
-        F.array_max(outline["x"]).alias("right"), F.array_max(outline["y"]).alias("top"),
-    )
+    steps = np.arange(between + 2) / (between + 1.0)
+
+    def bounds(west: pa.Array, south: pa.Array, east: pa.Array, north: pa.Array) -> pa.Array:
+        known = [v.is_valid().to_numpy(zero_copy_only=False) for v in (west, south, east, north)]
+        w, s, e, n = (v.to_numpy(zero_copy_only=False)[:, None] for v in (west, south, east, north))
+        lon, lat = w + (e - w) * steps, s + (n - s) * steps
+        least = np.full((2, len(w)), np.nan)
+        most = np.full((2, len(w)), -np.inf)
+        any_ = np.zeros(len(w), bool)
+        with np.errstate(all="ignore"):
+            for needs, *side in (((0, 1, 2), lon, s), ((1, 2, 3), e, lat), ((0, 2, 3), lon, n), ((0, 1, 3), w, lat)):
+                whole = np.logical_and.reduce([known[i] for i in needs])
+                any_ |= whole
+                for axis, value in enumerate(_forward(np, *side, zone)):
+                    # what is not a number is the greatest, as in SQL
+                    least[axis] = np.fmin(least[axis], np.where(whole, np.fmin.reduce(value, axis=1), np.nan))
+                    most[axis] = np.maximum(most[axis], np.where(whole, value.max(axis=1), -np.inf))
+        ends = [pa.array(end, mask=~any_, from_pandas=False) for end in (*least, *most)]
+        return pa.StructArray.from_arrays(ends, ["left", "bottom", "right", "top"])
+
+    # not repeated by the optimizer for each field that is read
+    bounds = F.arrow_udf(bounds, "left DOUBLE, bottom DOUBLE, right DOUBLE, top DOUBLE").asNondeterministic()
+    return bounds(*[c.cast("double") for c in (west, south, east, north)])

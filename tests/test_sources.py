@@ -1,12 +1,14 @@
 import json
 import os
+from functools import reduce
 
 import pytest
-from pixelquery import Grid
+from pixelquery import Grid, fixtures
 from pixelquery.operators import catalog, classify, spatial
 from pixelquery.schema import BAND_NAMES, TRAINING_AREAS, training_areas
 from pixelquery.session import cut_lineage, discard, scratch_root
 from pixelquery.sources import raster, tables, vector
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -236,3 +238,18 @@ def test_reference_grid_of_the_study_area(spark):
     found = catalog.reference_grids(scenes.union(far), tile).collect()
     assert [(r.scene_id, r.x0, r.y0, r.height, r.width) for r in found] == [("a", 399960.0, 3729900.0, 3966, 3517)]
     assert 0.33 < found[0].coverage < 0.34  # 47 % of the width, 70 % of the height
+
+
+def test_boxes_are_projected_in_many_tasks(spark):
+    scenes = fixtures.scenes(spark, "/root/testdata/sf0.001").coalesce(1)
+    boxes = catalog.projected_boxes(scenes)
+    assert boxes.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert "transform" not in boxes._jdf.queryExecution().optimizedPlan().toString()  # once for each box, in batches
+    odd = "named_struct('west', {}, 'south', {}, 'east', -111.7D, 'north', 33.7D) AS bbox"
+    rows = [("whole", "-112.5D", "33.2D"), ("half", "CAST(NULL AS DOUBLE)", "33.2D"), ("wrong", "double('NaN')", "33.2D"),
+            ("none", "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)")]
+    few = [spark.range(2).selectExpr(f"'{k}' AS scene_id", odd.format(w, s)) for k, w, s in rows]
+    got = {(r.scene_id, *(None if v is None else round(v) for v in r[1:] if v == v)) for r in catalog.projected_boxes(reduce(DataFrame.union, few)).collect()}
+    # the eastern side alone is left of a box without its west; what is not a number is the greatest
+    assert got == {("whole", 360187, 3673678, 435130, 3729903), ("half", 434756, 3673678, 435130, 3729113),
+                   ("wrong", 434756, 3673678), ("none", None, None, None, None)}

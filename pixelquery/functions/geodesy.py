@@ -162,31 +162,6 @@ def box_height_m(dlat: Column) -> Column:
     return F.bround(dlat * 2.0 * METRES_PER_DEGREE, 0)
 
 
-def projected_outline(
-    west: Column, south: Column, east: Column, north: Column, zone: int = 12, densify: int = 21
-) -> Column:
-    """Outline of a lon/lat box in UTM, with ``densify`` extra points along each edge.
-
-    The bounding box of the projected box is the extent of this ring.
-    """
-    steps = F.transform(
-        F.sequence(F.lit(0), F.lit(densify + 1)), lambda i: i / F.lit(float(densify + 1))
-    )
-
-    def edge(x_from, y_from, x_to, y_to):
-        return F.transform(
-            steps, lambda s: point(x_from + (x_to - x_from) * s, y_from + (y_to - y_from) * s)
-        )
-
-    outline = F.concat(
-        edge(west, south, east, south),
-        edge(east, south, east, north),
-        edge(east, north, west, north),
-        edge(west, north, west, south),
-    )
-    return project_ring(outline, zone)
-
-
 def projected_bounds(west: Column, south: Column, east: Column, north: Column, zone: int = 12, between: int = 21) -> Column:
     """``left, bottom, right, top`` in UTM of a lon/lat box, with ``between`` more points on each side.
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pixelquery import fixtures
-from pixelquery.functions.geodesy import projected_outline
 from pixelquery.grid import Grid
 from pixelquery.operators import catalog, resample
 from pixelquery.queries import geodesy_sql
@@ -189,16 +188,7 @@ _AOI_UTM = (362000.0, 3674000.0, 435000.0, 3730000.0)
 
 
 def _clipped(spark, sf_dir):
-    b = F.col("bbox")
-    outline = projected_outline(b["west"], b["south"], b["east"], b["north"])
-    scenes = _scenes(spark, sf_dir).select("scene_id", F.explode(F.array(outline)).alias("o"))
-    bounds = scenes.select(
-        "scene_id",
-        F.array_min("o.x").alias("left"),
-        F.array_min("o.y").alias("bottom"),
-        F.array_max("o.x").alias("right"),
-        F.array_max("o.y").alias("top"),
-    )
+    bounds = catalog.projected_boxes(_scenes(spark, sf_dir))
     clipped = resample.clip_to_aoi(bounds, _AOI_UTM)
     columns = ["clip_left", "clip_bottom", "clip_right", "clip_top", "coverage_pct"]
     return rounded(clipped.select("scene_id", *columns), *columns, digits=3)

@@ -5,6 +5,7 @@ from functools import reduce
 import pytest
 from pixelquery import Grid, fixtures
 from pixelquery.operators import catalog, classify, spatial
+from pixelquery.queries import ORACLES, QUERIES
 from pixelquery.schema import BAND_NAMES, TRAINING_AREAS, training_areas
 from pixelquery.session import cut_lineage, discard, scratch_root
 from pixelquery.sources import raster, tables, vector
@@ -107,6 +108,14 @@ def test_training_csv_round_trip(spark, tmp_path):
     assert tuple(tables.read_training_csv(spark, path).first()) == row
 
 
+def test_csv_scan_returns_the_whole_training_table(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    whole, scanned = (QUERIES[name](spark, sf_dir) for name in ("training_table", "src10_training_csv_scan"))
+    assert scanned.columns == whole.columns
+    assert sorted(map(repr, scanned.collect())) == sorted(map(repr, whole.collect()))
+    assert ORACLES["src10_training_csv_scan"] == ORACLES["training_table"]
+
+
 def test_publish_replaces_and_reports(spark, tmp_path):
     root = str(tmp_path / "pub")
 

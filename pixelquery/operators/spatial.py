@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pixelquery.functions import geodesy
 from pixelquery.functions.reflectance import clip_evi
@@ -149,8 +155,12 @@ def ring_area(ring: Column) -> Column:
 
 # upper bound of a polygon table that is sent to every executor
 BROADCAST_BYTES = 32 * 1024 * 1024
-# rings with more edges are cut into slabs
+# rings with more edges are tested once, a bit for each pixel of a bucket
 HEAVY_EDGES = 64
+# rings with more edges are cut into slabs, so that many tasks share them
+LONG_EDGES = 20_000
+# crossings of edges with rows of pixels, and buckets, that a task holds at once
+MASK_BLOCK = 500_000
 
 
 def bucket_size(grid: Grid) -> int:
@@ -180,27 +190,33 @@ def _pixel_ranges(polygons: DataFrame, grid: Grid) -> DataFrame:
 def polygon_buckets(polygons: DataFrame, grid: Grid) -> DataFrame:
     """Projected polygons, once per pixel bucket they may touch, with their pixel range and ``_edges``.
 
-    Rings of up to ``HEAVY_EDGES`` edges go whole to each bucket.  Of longer ones a bucket gets the edges
-    near it and, in ``_odd``, a bit for each of its rows: whether an odd number of the other edges lies to
-    the right of the bucket there (see ``_slabs``), so what is sent grows with the edges and the buckets, not
-    with their product.  The table is marked for broadcast if its measured size is small, and for a merge
+    Rings of up to ``HEAVY_EDGES`` edges go whole to each bucket.  Of longer ones a bucket gets, in ``_mask``,
+    the columns of each of its rows whose centres lie inside (see ``_masks``).  Of those with more than
+    ``LONG_EDGES`` it gets the edges near it and, in ``_odd``, a bit for each of its rows: whether an odd number
+    of the other edges lies to the right of the bucket there (see ``_slabs``).  So what is sent grows with the
+    edges and the buckets, not with their product.  The table is marked for broadcast if its measured size is small, and for a merge
     join otherwise; the optimizer's own estimate does not see how many buckets a polygon covers.
     """
     size = bucket_size(grid)
     per_tile = grid.tile // size
+    # rings are read several times, and may be costly to make
+    polygons = cut_lineage(polygons, "polygons")
     ranged = _pixel_ranges(polygons, grid)
     rows = (F.col("_r1") - F.col("_r0")) / size + 2
     cols = (F.col("_c1") - F.col("_c0")) / size + 2
-    heavy = F.size("_edges") > HEAVY_EDGES
+    heavy, long_ = F.size("_edges") > HEAVY_EDGES, F.size("_edges") > max(HEAVY_EDGES, LONG_EDGES)
     weight = rows * cols * (F.when(heavy, 2).otherwise(F.size("_edges")) * 48 + 256)
-    weight = weight + F.when(heavy, F.size("_edges") * 3 * 48).otherwise(0)
-    measured, n_heavy = ranged.agg(F.sum(weight), F.count_if(heavy)).first()
+    weight = weight + F.when(long_, F.size("_edges") * 3 * 48).when(heavy, rows * cols * size * 8).otherwise(0)
+    measured, n_heavy, n_long = ranged.agg(F.sum(weight), F.count_if(heavy), F.count_if(long_)).first()
+    none = F.lit(None).cast("array<bigint>")
     bucketed = ranged.where(~heavy).withColumn("_br", _bucket_range("_r0", "_r1", size)).withColumn(
         "_bc", _bucket_range("_c0", "_c1", size)
     )
-    bucketed = bucketed.withColumn("_odd", F.lit(0).cast("bigint"))
-    if n_heavy:
-        bucketed = bucketed.unionByName(_slabs(ranged.where(heavy), grid, size))
+    bucketed = bucketed.withColumns({"_odd": F.lit(0).cast("bigint"), "_mask": none})
+    if n_heavy > n_long:
+        bucketed = bucketed.unionByName(_masks(ranged.where(heavy & ~long_), grid, size))
+    if n_long:
+        bucketed = bucketed.unionByName(_slabs(ranged.where(long_), grid, size).withColumn("_mask", none))
     bucketed = bucketed.withColumns(
         {
             "tile_row": F.floor(F.col("_br") / per_tile).cast("int"),
@@ -210,6 +226,102 @@ def polygon_buckets(polygons: DataFrame, grid: Grid) -> DataFrame:
     return bucketed.hint("broadcast" if (measured or 0) <= BROADCAST_BYTES else "merge")
 
 
+def _blocks(weight: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Rings to do together, with their first and last rows; one of very much weight is cut into bands of rows."""
+    at = 0
+    while at < len(weight):
+        stop = at + max(1, int(np.searchsorted(np.cumsum(weight[at:]), MASK_BLOCK, "right")))
+        low, high = first[at:stop], last[at:stop]
+        step = -(-int(high.max() - low.min() + 1) // (-(-int(weight[at:stop].sum()) // MASK_BLOCK) if stop == at + 1 else 1))
+        for band in range(int(low.min()), int(high.max()) + 1, step):
+            yield slice(at, stop), np.maximum(low, band), np.minimum(high, band + step - 1)
+        at = stop
+
+
+def _masks(ranged: DataFrame, grid: Grid, size: int) -> DataFrame:
+    """Buckets of rings with many edges, and of each of their rows, a bit for each column inside.
+
+    A ring is tested once for each row of pixels that an edge crosses, by the arithmetic of ``_inside``, and
+    not once for each pixel.  A task takes rings by blocks of bounded size.
+    """
+    names = [c for c in ranged.columns if c not in ("ring", "_edges")]
+    spread = int(ranged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top, left, res, width = float(grid.y0), float(grid.x0), float(grid.res), grid.width
+    centres = left + (np.arange(width) + 0.5) * res
+
+    def repeated(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = np.maximum(last - first + 1, 0)
+        of = np.repeat(np.arange(len(n)), n)
+        return of, first[of] + np.arange(len(of)) - (np.cumsum(n) - n)[of]
+
+    def block(points: tuple, ring: np.ndarray, low: np.ndarray, high: np.ndarray, c0: np.ndarray, c1: np.ndarray):
+        """Ring, bucket row and column, and the bits of the rows of each bucket with pixels inside."""
+        x, y, no_x, no_y = points
+        edge = np.flatnonzero((ring[1:] == ring[:-1]) & ~no_y[1:] & ~no_y[:-1])
+        greater, less = np.maximum(y[edge], y[edge + 1]), np.fmin(y[edge], y[edge + 1])
+        first = np.nan_to_num(np.floor((top - greater) / res - 1.5), nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+        last = np.nan_to_num(np.ceil((top - less) / res + 0.5), nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+        low_of, high_of = low[ring[edge]], high[ring[edge]]
+        of, row = repeated(np.clip(first, low_of, high_of + 1).astype(int), np.clip(last, low_of - 1, high_of).astype(int))
+        edge = edge[of]
+        at_row = top - (row + 0.5) * res
+        x1, y1, x2, y2 = x[edge], y[edge], x[edge + 1], y[edge + 1]
+        # what is not a number is the greatest, as in SQL
+        crosses = (np.isnan(y1) | (y1 > at_row)) != (np.isnan(y2) | (y2 > at_row))
+        edge, row, at_row, x1, y1, x2, y2 = (v[crosses] for v in (edge, row, at_row, x1, y1, x2, y2))
+        at = (x2 - x1) * (at_row - y1) / (y2 - y1) + x1
+        line = ring[edge] * grid.height + row
+        unknown = np.unique(line[no_x[edge] | no_x[edge + 1]])  # nothing is known to be inside there
+        known = ~np.isin(line, unknown)
+        # a crossing turns all columns before it; in order, each second one ends a run
+        key = line[known] * (width + 1) + np.searchsorted(centres, at[known], "left")
+        lines, counts = np.unique(key // (width + 1), return_counts=True)
+        key = np.sort(np.concatenate([key, lines[counts % 2 == 1] * (width + 1)])).reshape(-1, 2)
+        line = key[:, 0] // (width + 1)
+        of_ring, row = line // grid.height, line % grid.height
+        begin = np.maximum(key[:, 0] % (width + 1), c0[of_ring])
+        end = np.minimum(key[:, 1] % (width + 1), c1[of_ring] + 1)
+        run, bucket = repeated(begin // size, np.where(begin < end, (end - 1) // size, -1))
+        one = np.uint64(1)
+        bits = (one << np.minimum(end[run] - bucket * size, size).astype(np.uint64)) - (
+            one << np.maximum(begin[run] - bucket * size, 0).astype(np.uint64)
+        )
+        tall, wide = grid.height // size + 1, width // size + 1
+        cells, cell = np.unique((of_ring[run] * tall + row[run] // size) * wide + bucket, return_inverse=True)
+        masks = np.zeros(len(cells) * size, np.uint64)
+        np.bitwise_or.at(masks, cell * size + row[run] % size, bits)
+        return cells // wide // tall, cells // wide % tall, cells % wide, masks.view(np.int64)
+
+    def masked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rings, held = batch.column("ring"), batch.select(names)
+            flat, n = rings.flatten(), rings.value_lengths().to_numpy(zero_copy_only=False).astype(int)
+            until = np.cumsum(n)
+            x, y = (pc.struct_field(flat, i) for i in ("x", "y"))
+            points = [v.to_numpy(zero_copy_only=False) for v in (x, y, x.is_null(), y.is_null())]
+            r0, r1, c0, c1 = (batch.column(c).to_numpy().astype(int) for c in ("_r0", "_r1", "_c0", "_c1"))
+            weight = n * 3 + ((r1 - r0) // size + 2) * ((c1 - c0) // size + 2) + np.add.reduceat(
+                np.abs(np.diff(np.nan_to_num(points[1]), append=0.0)) / res, until - n
+            ).clip(0, n * (r1 - r0 + 1))
+            for part, low, high in _blocks(weight, r0, r1):
+                span = slice(until[part][0] - n[part][0], until[part][-1])
+                ring = np.repeat(np.arange(part.stop - part.start), n[part])
+                with np.errstate(all="ignore"):
+                    of, br, bc, masks = block([p[span] for p in points], ring, low, high, c0[part], c1[part])
+                if len(of):
+                    listed = pa.ListArray.from_arrays(pa.array(np.arange(len(of) + 1) * size, pa.int32()), pa.array(masks))
+                    kept = held.take(pa.array(of + part.start))
+                    yield pa.RecordBatch.from_arrays(
+                        [*kept.columns, pa.array(br, pa.int32()), pa.array(bc, pa.int32()), listed], [*names, "_br", "_bc", "_mask"]
+                    )
+
+    made = StructType.fromDDL("_br INT, _bc INT, _mask ARRAY<BIGINT>")
+    schema = StructType([*[ranged.schema[c] for c in names], *made])
+    found = ranged.select(*names, "ring").repartition(spread).mapInArrow(masked, schema)
+    kinds = {c: ranged.schema[c].dataType for c in ("ring", "_edges")}
+    return found.withColumns({c: F.lit(None).cast(kind) for c, kind in kinds.items()} | {"_odd": F.lit(0).cast("bigint")})
+
+
 def _slabs(ranged: DataFrame, grid: Grid, size: int) -> DataFrame:
     """Buckets of rings with very many edges.
 
@@ -305,7 +417,8 @@ def label_pixels(pixels: DataFrame, polygons: DataFrame, grid: Grid) -> DataFram
     hits = joined.where(
         row.between(F.col("_r0"), F.col("_r1"))
         & col.between(F.col("_c0"), F.col("_c1"))
-        & (_inside(F.col("_edges"), grid.x(col), grid.y(row)) != _bit(F.col("_odd"), row - F.col("_br") * size))
+        & F.when(F.col("_mask").isNotNull(), _bit(F.get("_mask", row - F.col("_br") * size), col - F.col("_bc") * size))
+        .otherwise(_inside(F.col("_edges"), grid.x(col), grid.y(row)) != _bit(F.col("_odd"), row - F.col("_br") * size))
     )
     return hits.select(*[F.col(c) for c in carried], *[keyed[c] for c in pixels.columns])
 

@@ -136,6 +136,8 @@ def _long_ring_hits(spark, sf_dir):
         return point(F.col("lon") + F.col("dlon") * reach * F.cos(angle), F.col("lat") + F.col("dlat") * reach * F.sin(angle))
 
     star = F.transform(F.sequence(F.lit(0), F.lit(_LONG)), corner)
+    # much work for a short row, so the rows of the one-file table are spread first
+    areas = areas.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     polygons = spatial.project_polygons(areas.select("area_id", star.alias("ring")))
     return spatial.label_pixels(_positions(spark, sf_dir), polygons, grid).select("area_id", "row", "col")
 

@@ -63,3 +63,32 @@ def test_edges_sent_grow_with_edges_plus_buckets(spark):
     x, y = np.array(points[:-1]).T
     area = abs(np.sum(x * np.roll(y, -1) - np.roll(x, -1) * y)) / 2
     assert abs(found * 100 - area) < 0.001 * area
+
+
+def test_rings_of_many_edges_are_sent_as_bits(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "HEAVY_EDGES", 1000)
+    grid = Grid(x0=1000.0, y0=5000.0, res=10.0, height=130, width=170, tile=64)
+    shapes = [ring(100 + k, 1200.0 + 90 * k, 4900.0 - 70 * k, 60.0 + 30 * k, 9, 0.3) for k in range(14)]
+    shapes.append([(1200.0, 4800.0)] * 20 + shapes[3])
+    for k, odd in enumerate(((None, None), (None, 4500.0), (1700.0, None), (float("nan"), 4500.0), (1700.0, float("nan")))):
+        points = list(shapes[5 + k])
+        points[40] = odd
+        shapes.append(points)
+    plain = labelled(spark, grid, shapes)
+    monkeypatch.setattr(spatial, "HEAVY_EDGES", 64)
+    assert labelled(spark, grid, shapes) == plain
+    monkeypatch.setattr(spatial, "MASK_BLOCK", 300)  # one ring at a time, in bands
+    assert labelled(spark, grid, shapes) == plain
+    rows = [(k, [{"x": x, "y": y} for x, y in points]) for k, points in enumerate(shapes)]
+    polygons = spark.createDataFrame(rows, "k INT, ring ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>")
+    held = spatial.polygon_buckets(polygons, grid).selectExpr("count_if(_edges IS NOT NULL)", "max(size(_mask))").first()
+    assert held[0] == 0  # no edges
+    assert held[1] == spatial.bucket_size(grid)
+
+
+def test_rings_in_slabs(spark, monkeypatch):
+    grid = Grid(x0=1000.0, y0=5000.0, res=10.0, height=130, width=170, tile=64)
+    shapes = [ring(100 + k, 1200.0 + 90 * k, 4900.0 - 70 * k, 60.0 + 30 * k, 9, 0.3) for k in range(14)]
+    bits = labelled(spark, grid, shapes)
+    monkeypatch.setattr(spatial, "LONG_EDGES", 104)
+    assert labelled(spark, grid, shapes) == bits

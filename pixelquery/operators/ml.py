@@ -149,25 +149,32 @@ def importance_table(spark, rf: dict[str, float], gb: dict[str, float]) -> DataF
     )
 
 
-def score(
-    model: TreeModel, stack: DataFrame, features: Sequence[str] = tuple(BAND_NAMES)
+def scores(
+    models: dict[str, TreeModel], stack: DataFrame, features: Sequence[str] = tuple(BAND_NAMES), keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Class of every pixel whose bands are all valid; the others keep a NULL class.
+    """Classes of every pixel by some models, a column each, next to the columns to ``keep``, in one scan.
 
-    Invalid pixels pass through with their bands zero-filled and the class removed afterwards, so
-    the whole scene is scored in one scan without splitting and joining it back.
+    Pixels whose bands are not all valid keep a NULL class: they pass through with their bands zero-filled and
+    the class removed afterwards, so the scene is neither split nor joined back.
     """
     keys = [c for c in ("tile_row", "tile_col", "row", "col") if c in stack.columns]
     valid = F.lit(True)
     for f in features:
         valid = valid & F.col(f).isNotNull()
-    ready = stack.select(
-        *keys, valid.alias("_valid"), *[F.coalesce(F.col(f), F.lit(0.0)).alias(f) for f in features]
-    )
-    scored = model.transform(ready)
-    return scored.select(
-        *keys, F.when(F.col("_valid"), F.col("prediction").cast("int")).alias("class_id")
+    scored = stack.select(
+        *keys, *keep, valid.alias("_valid"), *[F.coalesce(F.col(f), F.lit(0.0)).alias(f) for f in features]
     )
+    for i, model in enumerate(models.values()):
+        scored = model.transform(scored, f"_class_{i}")
+    classes = [F.when(F.col("_valid"), F.col(f"_class_{i}").cast("int")).alias(name) for i, name in enumerate(models)]
+    return scored.select(*keys, *keep, *classes)
+
+
+def score(
+    model: TreeModel, stack: DataFrame, features: Sequence[str] = tuple(BAND_NAMES)
+) -> DataFrame:
+    """Class of every pixel whose bands are all valid; the others keep a NULL class."""
+    return scores({"class_id": model}, stack, features)
 
 
 def evaluate(models: dict[str, TreeModel], data: DataFrame) -> DataFrame:

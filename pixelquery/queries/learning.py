@@ -242,16 +242,12 @@ ORACLES["ml6_model_selection"] = with_grid(
 )
 
 
-def _scored(spark, sf_dir):
-    return ml.score(forest(spark, sf_dir), scene_stack(spark, sf_dir)).select("row", "col", "class_id")
-
-
 def _scene_agreement(spark, sf_dir):
     """All pixels by the class of the rule, those without a score apart, and whether the scores agree with it."""
     stack = scene_stack(spark, sf_dir)
     valid = reduce(lambda a, b: a & b, [F.col(b).isNotNull() for b in BAND_NAMES])
-    ruled = stack.select("row", "col", F.when(valid, land_class(clean=True)).alias("rule"))
-    both = ruled.join(_scored(spark, sf_dir), ["row", "col"])
+    ruled = stack.withColumn("rule", F.when(valid, land_class(clean=True)))
+    both = ml.scores({"class_id": forest(spark, sf_dir)}, ruled, keep=["rule"]).dropna("any", subset=["row", "col"])
     agrees = F.col("rule").eqNullSafe(F.col("class_id")).cast("double")
     return both.groupBy("rule").agg(F.count("*").alias("pixels"), (F.avg(agrees) >= 0.85).alias("agrees"))
 

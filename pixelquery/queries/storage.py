@@ -263,9 +263,8 @@ def _model_round_trip(spark, sf_dir):
     model = learning.small_forest(spark, sf_dir)
     landcover.save_model(model, path)
     stack = learning.scene_stack(spark, sf_dir)
-    one = ml.score(model, stack).select("row", "col", "class_id")
-    two = ml.score(landcover.load_model(spark, path), stack).select("row", "col", F.col("class_id").alias("reloaded"))
-    both = one.join(two, ["row", "col"])
+    models = {"class_id": model, "reloaded": landcover.load_model(spark, path)}
+    both = ml.scores(models, stack).dropna("any", subset=["row", "col"])
     return both.select("row", "col", F.col("class_id").eqNullSafe(F.col("reloaded")).alias("same"))
 
 

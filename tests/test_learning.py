@@ -147,3 +147,16 @@ def test_registered_models_fit_for_real(spark):
     assert len(rows) == 6 and sum(r.recalled for r in rows.values()) >= 4
     model = learning.forest(spark, sf)
     assert model.trees.count() == 200
+
+
+def test_models_score_in_one_scan(spark):
+    bands = ["a", "b"]
+    rows = [(i // 10, i % 10, float(i % 7), None if i % 9 == 0 else float(i % 5), float(i % 7 > 3)) for i in range(100)]
+    stack = spark.createDataFrame(rows, "row INT, col INT, a DOUBLE, b DOUBLE, label DOUBLE")
+    models = {f"m{depth}": ml.fit(stack, ml.random_forest(2, depth), bands) for depth in (1, 3)}
+    both = ml.scores(models, stack, bands, keep=["label"])
+    assert both.columns == ["row", "col", "label", "m1", "m3"]
+    assert "Join" not in both._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.row, r.col): (r.m1, r.m3) for r in both.collect()}
+    one, three = ({(r.row, r.col): r.class_id for r in ml.score(m, stack, bands).collect()} for m in models.values())
+    assert got == {k: (one[k], three[k]) for k in one} and len(got) == 100

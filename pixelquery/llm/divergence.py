@@ -11,7 +11,7 @@ from pixelquery.session import cut_lineage
 
 #: Classes of the character histogram; what none of them holds is a last class.
 CLASSES = (r"\p{Ll}", r"\p{Lu}", r"\p{Nd}", r"\s", r"[.,;:?'\"()-]", r"[!#*$%&|<>@/\\=+~^_{}\[\]]")
-SYMBOLS = r"[#*$%&|<>]"
+SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 
 
@@ -49,7 +49,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
         "*",
         n.cast("long").alias("n_words"),
         F.length(F.array_join(listed, "")).cast("long").alias("word_chars"),
-        (F.length(body) - F.length(F.regexp_replace(body, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long").alias("n_symbols"),
     )
     df = bound(df, lines=lines, hashes=F.transform(listed, lambda w: F.xxhash64(w)))
     df = df.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))

@@ -131,6 +131,75 @@ def test_scores(spark, rows, plan, monkeypatch, tmp_path):
     assert min(model.importances(), key=model.importances().get) in ("c", "d")
 
 
+@pytest.mark.parametrize("dense", [0, 10**9])
+def test_forest_trees_do_not_depend_on_blocks_of_nodes(dense, monkeypatch):
+    x, label = made(3000)
+    codes = (x * 250).astype(np.uint8)
+    weight = ensembles.balanced(label, 3)
+
+    def grown(*order):
+        rows = slice(None) if not order else order[0]
+        return ensembles.grow_forest_tree(codes[rows], label[rows], weight[rows], 3, Forest(depth=12), np.random.default_rng(5))
+
+    once = grown()
+    assert len(once.child) > 100
+    monkeypatch.setattr(ensembles, "NODE_ROWS", 50)
+    monkeypatch.setattr(ensembles, "DENSE_ROWS", dense)
+    again = grown()
+    for name in ("feature", "cut", "child", "value", "importance"):
+        assert np.array_equal(getattr(once, name), getattr(again, name)), name
+
+
+def test_boosting_counts_bands_by_pairs_and_no_leaf_that_stays(monkeypatch):
+    x, label = made(4000)
+    codes = (x * 250).astype(np.uint8)
+    codes = np.concatenate([codes, codes[:, ::-1], codes[:, :1]], 1)  # nine bands, so one is alone in its pair
+    weight = ensembles.balanced(label, 3)
+    plan = Boosting(rounds=2, depth=3)
+
+    def grown():
+        counted.clear()
+        return ensembles.boost(codes, label, weight, 3, plan, range(3), lambda trees: trees)
+
+    counted, bincount = [], np.bincount
+
+    def noted(values, *rest, **more):
+        counted.append(len(values))
+        return bincount(values, *rest, **more)
+
+    monkeypatch.setattr(np, "bincount", noted)
+    apart = grown()
+    # the root and, of each of up to three nodes of the two levels below it, the smaller half: none of the last level
+    assert sum(counted) <= 6 * 3 * 9 * 4000 * 2 + 4000
+    monkeypatch.setattr(ensembles, "PAIRED_ROWS", 0)
+    together = grown()
+    assert sum(counted) <= 6 * 3 * 5 * 4000 * 2 + 4000
+    for one, two in zip(apart, together, strict=True):
+        for k in one:
+            for name in ("feature", "cut", "child", "value", "importance"):
+                assert np.array_equal(getattr(one[k], name), getattr(two[k], name)), name
+
+
+def test_leaves_by_columns_are_those_by_rows(monkeypatch):
+    x, label = made(500)
+    codes = (x * 250).astype(np.uint8)
+    columns = codes.T.copy()
+    monkeypatch.setattr(ensembles, "BLOCK_ROWS", 70)
+    for k, leaves in ((0, 2), (1, 31), (2, 300)):
+        plan = Boosting(depth=9, least_rows=1, leaves=leaves)
+        tree, leaf = ensembles.grow_boosted_tree(columns, np.arange(500), 1 / 3 - (label == k), np.full(500, 2 / 9), plan)
+        assert np.array_equal(tree.leaves_by_columns(columns), leaf) and np.array_equal(tree.leaves(codes, 10), leaf)
+
+
+def test_sums_on_the_grid_are_exact():
+    draw = np.random.default_rng(3)
+    values = draw.normal(size=100_000) * 10.0 ** draw.integers(-6, 3, 100_000)
+    near = ensembles.on_grid(values)
+    assert np.abs(near - values).max() <= 2.0**-52 * np.abs(values).sum()
+    assert len({draw.permutation(near).cumsum()[-1] for _ in range(20)}) == 1
+    assert not ensembles.on_grid(np.zeros(3)).any() and len(ensembles.on_grid(np.zeros(0))) == 0
+
+
 def test_a_held_out_tenth_ends_the_rounds():
     x, label = made(400)
     label = np.random.default_rng(0).integers(0, 3, 400)  # nothing to learn

@@ -20,7 +20,7 @@ from pixelquery.functions.geodesy import point
 from pixelquery.grid import Grid
 from pixelquery.operators.focal import halo
 from pixelquery.operators.regions import connected_roots, label_patches, patch_borders, tile_patches
-from pixelquery.operators.simplify import OUTSIDE, douglas_peucker
+from pixelquery.operators.simplify import OUTSIDE, simplified_lines
 from pixelquery.schema import SIMPLIFY_TOLERANCE_M
 from pixelquery.session import cut_lineage, discard
 
@@ -172,12 +172,14 @@ def ordered(links: DataFrame) -> DataFrame:
     pointer jumping, each of which doubles its reach: one finds the smallest chain of what goes round,
     where it is cut, and one adds up edges from the start.  A round joins one row a chain with one row.
     """
-    alone = links.where("next = chain").select("chain", F.col("chain").alias("head"), F.lit(0).cast("long").alias("before"))
-    many = links.where("next IS NULL OR next <> chain")
-    earlier = many.where("next IS NOT NULL").select(
-        F.col("next").alias("chain"), F.col("chain").alias("up"), F.col("edges").alias("skip")
-    )
-    nodes = cut_lineage(many.select("chain").join(earlier, "chain", "left"), "nodes")
+    linked = links.where("next <> chain")
+    earlier = linked.select(F.col("next").alias("chain"), F.col("chain").alias("up"), F.col("edges").alias("skip"))
+    # most lines lie in one tile: a chain that none leads to and that leads nowhere is in order by itself
+    last, followers = links.where("next IS NULL"), earlier.select("chain")
+    single = links.where("next = chain").unionByName(last.join(followers, "chain", "left_anti").select(links.columns))
+    alone = single.select("chain", F.col("chain").alias("head"), F.lit(0).cast("long").alias("before"))
+    many = linked.select("chain").union(last.select("chain").join(followers, "chain", "left_semi"))
+    nodes = cut_lineage(many.join(earlier, "chain", "left"), "nodes")
 
     def nearer(n: DataFrame) -> DataFrame:
         to = n.select(F.col("chain").alias("up"), F.col("up").alias("_up"), F.col("least").alias("_least"))
@@ -292,15 +294,6 @@ def boundary_lines(
     parted = corners.join(heads, "line")
     x0, y0, res = grid.x0, grid.y0, grid.res
 
-    def one(rows: pa.Table, a: int, b: int) -> tuple:
-        points = np.stack([x0 + rows["col"].to_numpy()[a:b] * res, y0 - rows["row"].to_numpy()[a:b] * res], 1)
-        if len(points) > 2:
-            points = points[douglas_peucker(points, tolerance)]
-        length = float(np.hypot(*np.diff(points, axis=0).T).sum())
-        place = rows["place"].to_numpy()
-        about = [rows[c][a].as_py() for c in ("line", "part", "class_a", "class_b")]
-        return (*about, int(place[b - 1] - place[a]), rows["closed"][a].as_py(), length, points[:, 0].tolist(), points[:, 1].tolist())
-
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.float64()] + [pa.list_(pa.float64())] * 2
     names = ["line", "part", "class_a", "class_b", "edges", "closed", "length", "xs", "ys"]
 
@@ -308,10 +301,23 @@ def boundary_lines(
         held: list[pa.RecordBatch] = []
 
         def closed(rows: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
-            found = [one(rows, a, b) for a, b in zip(cuts, cuts[1:]) if b - a > 1]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([f[i] for f in found], k) for i, k in enumerate(kinds)], names
-            )
+            cuts = cuts.astype(np.intp)
+            first, last = cuts[:-1], cuts[1:] - 1
+            first, last = first[last > first], last[last > first]
+            points = np.stack([x0 + rows["col"].to_numpy() * res, y0 - rows["row"].to_numpy() * res], 1)
+            keep = simplified_lines(points, first, last, tolerance)
+            kept = np.flatnonzero(keep)
+            ends = np.searchsorted(kept, last, side="right")
+            starts = np.searchsorted(kept, first)
+            steps = np.append(np.hypot(*np.diff(points[kept], axis=0).T), 0.0)
+            steps[ends - 1] = 0.0  # from a line to the next one
+            length = np.add.reduceat(steps, starts) if len(starts) else np.empty(0)
+            offsets = pa.array(np.append(0, ends), pa.int32())
+            xs, ys = (pa.ListArray.from_arrays(offsets, pa.array(points[kept, i])) for i in (0, 1))
+            place = rows["place"].to_numpy()
+            about = [rows[c].combine_chunks().take(pa.array(first)) for c in ("line", "part", "class_a", "class_b", "closed")]
+            found = [*about[:4], pa.array(place[last] - place[first]), about[4], pa.array(length), xs, ys]
+            return pa.RecordBatch.from_arrays([f.cast(k) for f, k in zip(found, kinds)], names)
 
         for batch in batches:
             held.append(batch)

@@ -52,6 +52,40 @@ def douglas_peucker(points: np.ndarray, tolerance: float) -> np.ndarray:
     return np.flatnonzero(keep)
 
 
+def simplified_lines(points: np.ndarray, first: np.ndarray, last: np.ndarray, tolerance: float) -> np.ndarray:
+    """Which points stay when many lines are simplified together, each as by ``douglas_peucker``.
+
+    Line i has the points ``first[i]`` to ``last[i]``, after those of the line before.  All stretches still to
+    be looked at take a step at once, so short lines cost no loop of their own.
+    """
+    keep = np.zeros(len(points), bool)
+    keep[first] = keep[last] = True
+    while True:
+        long = last - first >= 2
+        first, last = first[long], last[long]
+        if not len(first):
+            return keep
+        inner = last - first - 1
+        starts = inner.cumsum() - inner
+        of = np.repeat(np.arange(len(first)), inner)
+        at = np.arange(len(of)) + (first + 1 - starts)[of]
+        chord, offsets = points[last] - points[first], points[at] - points[first][of]
+        squared = (chord**2).sum(1)
+        along = (offsets * chord[of]).sum(1)
+        share = np.clip(along / np.where(squared == 0.0, 1.0, squared)[of], 0.0, 1.0)[:, None]
+        rest = offsets - share * chord[of]
+        distance = np.hypot(rest[:, 0], rest[:, 1])
+        most = np.maximum.reduceat(distance, starts)
+        hits = np.flatnonzero(distance == most[of])
+        far = at[hits[np.searchsorted(of[hits], np.arange(len(first)))]]
+        bent = most > tolerance
+        first, far, last = first[bent], far[bent], last[bent]
+        keep[far] = True
+        first, last = np.append(first, far), np.append(far, last)
+        order = np.argsort(first, kind="stable")
+        first, last = first[order], last[order]
+
+
 def trace_arcs(framed: np.ndarray, owns_bottom: bool, owns_right: bool):
     """Arcs of one tile as ``(class_a, class_b, corner list)`` in tile corner coordinates.
 

@@ -94,11 +94,14 @@ def _boundaries(spark, sf_dir):
     """Lines between each two classes: unit edges before, end points and distinct ends after simplifying."""
     grid = fixtures.pixel_grid(spark, sf_dir)
     lines = outlines.boundary_lines(fixtures.classes(spark, sf_dir), grid, 2.0 * grid.res)
-    ends = F.when(~F.col("closed"), F.array(F.element_at("points", 1), F.element_at("points", -1)))
-    spots = F.explode(F.coalesce(ends, F.array(F.lit(None).cast("struct<x: double, y: double>"))))
-    at = lines.select("class_a", "class_b", spots.alias("p")).groupBy("class_a", "class_b").agg(F.countDistinct("p.x", "p.y").alias("ends"))
-    sums = lines.groupBy("class_a", "class_b").agg(F.sum("edges").alias("edges"))
-    return sums.join(at, ["class_a", "class_b"])
+    # the edges of a line go with its first end, so the lines are made once
+    spot = lambda p, edges: F.struct(p.alias("p"), edges.cast("long").alias("edges"))
+    first, last = (F.element_at("points", i) for i in (1, -1))
+    ends = F.when(~F.col("closed"), F.array(spot(first, F.col("edges")), spot(last, F.lit(0))))
+    spots = F.coalesce(ends, F.array(spot(F.lit(None).cast("struct<x: double, y: double>"), F.col("edges"))))
+    return lines.select("class_a", "class_b", F.inline(spots)).groupBy("class_a", "class_b").agg(
+        F.sum("edges").alias("edges"), F.countDistinct("p.x", "p.y").alias("ends")
+    )
 
 
 QUERIES["agg19_simplified_boundaries"] = _boundaries

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from helpers import frame
 from pixelquery import Grid
-from pixelquery.operators import outlines, regions
+from pixelquery.operators import outlines, regions, simplify
+from pixelquery.queries import regions as region_queries
 
 
 def raster(seed, shape=(23, 31), classes=3):
@@ -107,3 +108,36 @@ def test_parts_of_a_long_line_meet(spark):
     parts = [r for r in lines_of(pred, grid, 0.0, longest=9) if r[:2] == (0, 1)]
     assert len(whole) == 1 < len(parts) and sum(p[2] for p in parts) == whole[0][2]
     assert {q for p in parts for q in p[4]} == set(whole[0][4])
+
+
+@pytest.mark.parametrize("tolerance", [0.0, 0.8, 2.0])
+def test_lines_simplified_together_are_those_simplified_alone(tolerance):
+    draw = np.random.default_rng(6)
+    lines = [np.cumsum(draw.integers(-1, 2, (n, 2)), 0).astype(float) for n in [*draw.integers(2, 40, 60), 2, 3, 500]]
+    lines += [np.array([[0, 0], [3, 0], [3, 3], [0, 3], [0, 0]], float), np.zeros((4, 2))]  # closed, and one spot
+    points, ends = np.concatenate(lines), np.cumsum([len(x) for x in lines])
+    starts = ends - [len(x) for x in lines]
+    keep = simplify.simplified_lines(points, starts, ends - 1, tolerance)
+    for line, a, b in zip(lines, starts, ends):
+        assert np.flatnonzero(keep[a:b]).tolist() == simplify.douglas_peucker(line, tolerance).tolist()
+
+
+def test_only_chains_with_neighbours_are_ordered(spark, monkeypatch):
+    rows = [(1, None, 4), (2, 3, 5), (3, None, 6), (4, 4, 7), (5, 6, 1), (6, 5, 2), (7, None, 3)]
+    links = spark.createDataFrame(rows, "chain BIGINT, next BIGINT, edges BIGINT")
+    sizes, kept = {}, outlines.cut_lineage
+
+    def noted(df, label):
+        out = kept(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(outlines, "cut_lineage", noted)
+    got = sorted(map(tuple, outlines.ordered(links).collect()))
+    assert got == [(1, 1, 0), (2, 2, 0), (3, 2, 5), (4, 4, 0), (5, 5, 0), (6, 5, 1), (7, 7, 0)]
+    assert set(sizes.values()) == {4}
+
+
+def test_the_query_simplifies_lines_once(spark):
+    made = region_queries.QUERIES["agg19_simplified_boundaries"](spark, "/root/testdata/sf0.001")
+    assert made._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1

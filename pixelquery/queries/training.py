@@ -33,7 +33,9 @@ def _inline_polygons(spark):
 
 
 def _area_polygons(spark, sf_dir):
-    return spatial.project_polygons(spatial.box_polygons(fixtures.areas(spark, sf_dir)))
+    # much work for a short row, so the rows of the one-file table are spread first
+    areas = fixtures.areas(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return spatial.project_polygons(spatial.box_polygons(areas))
 
 
 # projection -----------------------------------------------------------------------------------

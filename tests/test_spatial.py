@@ -4,6 +4,7 @@ import pytest
 from pixelquery import Grid
 from pixelquery.functions import geodesy
 from pixelquery.operators import catalog, classify, spatial
+from pixelquery.queries import training
 from pixelquery.schema import training_areas
 from pyspark.sql import functions as F
 
@@ -132,3 +133,8 @@ def test_unknown_cloud_counts_as_full(spark, monkeypatch):
     scenes = spark.createDataFrame([("a", None), ("b", 1.0)], "scene_id STRING, cloud DOUBLE")
     found = catalog.best_scene(scenes, scenes.select("scene_id")).collect()
     assert [tuple(r) for r in found] == [("b", 1.0)]
+
+
+def test_areas_of_a_one_file_table_are_projected_by_many_tasks(spark):
+    polygons = training._area_polygons(spark, "/root/testdata/sf0.001")
+    assert polygons.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))

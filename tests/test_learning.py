@@ -229,3 +229,53 @@ def test_models_score_in_one_scan(spark):
     got = {(r.row, r.col): (r.m1, r.m3) for r in both.collect()}
     one, three = ({(r.row, r.col): r.class_id for r in ml.score(m, stack, bands).collect()} for m in models.values())
     assert got == {k: (one[k], three[k]) for k in one} and len(got) == 100
+
+
+@pytest.mark.parametrize("plan", [Forest(trees=2, depth=2)])
+def test_all_labelled_rows_are_learned_from(spark, plan, monkeypatch):
+    n, learned, grow = 4_100_000, [], ensembles.grow
+
+    def noted(packed, *rest):
+        learned.append(packed.agg(F.sum(F.octet_length("labels"))).first()[0] // 4)
+        return grow(packed, *rest)
+
+    monkeypatch.setattr(ensembles, "grow", noted)
+    rows = spark.range(n).select("id", (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 7 > 3).cast("double").alias("label"))
+    model = ml.fit(rows, plan, ["a"], ["id"])
+    assert learned == [n]
+    got = model.transform(rows.limit(70)).collect()
+    assert [r.prediction for r in got] == [r.label for r in got]
+
+
+@pytest.mark.parametrize("plan", [Forest(trees=3, depth=6)])
+def test_trees_do_not_depend_on_files_or_blocks_of_rows(plan, monkeypatch):
+    x, label = made(3000)
+    codes, weight = (x * 250).astype(np.uint8), ensembles.balanced(label, 3)
+
+    def grown():
+        return [ensembles.grow_forest_tree(codes, label, weight, 3, plan, np.random.default_rng(k)) for k in range(plan.trees)]
+
+    once = grown()
+    monkeypatch.setattr(ensembles, "HELD_ROWS", 10)
+    monkeypatch.setattr(ensembles, "COUNT_ROWS", 70)
+    monkeypatch.setattr(ensembles, "PAIRED_ROWS", 100)
+    assert np.array_equal(ensembles.balanced(label, 3), weight)
+    for one, two in zip(once, grown(), strict=True):
+        for name in ("feature", "cut", "child", "value", "importance"):
+            assert np.array_equal(getattr(one, name), getattr(two, name)), name
+
+
+@pytest.mark.parametrize("key", ["CAST(NULL AS BIGINT)", "key % 3"])
+def test_rows_with_null_or_repeated_keys_are_all_packed_in_one_order(rows, key, monkeypatch):
+    monkeypatch.setattr(ensembles, "PACKED_ROWS", 40)
+    keyed = rows.withColumn("key", F.expr(key))
+    every = keyed.unionByName(keyed)
+
+    def packed(table):
+        found, ends = ensembles.packed_rows(table, BANDS, "label", ["key"], [[k / 50 for k in range(50)]] * 4)
+        batches = found.select("*", F.lit(0).alias("task")).toArrow().to_batches()
+        _, codes, labels = ensembles._unpacked(batches, 4, ends, False)
+        assert ends[-1] == len(labels) == 1200
+        return codes.tobytes(), labels.tobytes()
+
+    assert packed(every) == packed(every.repartition(7, "c"))

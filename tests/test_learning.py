@@ -231,7 +231,7 @@ def test_models_score_in_one_scan(spark):
     assert got == {k: (one[k], three[k]) for k in one} and len(got) == 100
 
 
-@pytest.mark.parametrize("plan", [Forest(trees=2, depth=2)])
+@pytest.mark.parametrize("plan", [Forest(trees=2, depth=2), Boosting(rounds=2, depth=2)])
 def test_all_labelled_rows_are_learned_from(spark, plan, monkeypatch):
     n, learned, grow = 4_100_000, [], ensembles.grow
 
@@ -247,12 +247,14 @@ def test_all_labelled_rows_are_learned_from(spark, plan, monkeypatch):
     assert [r.prediction for r in got] == [r.label for r in got]
 
 
-@pytest.mark.parametrize("plan", [Forest(trees=3, depth=6)])
+@pytest.mark.parametrize("plan", [Forest(trees=3, depth=6), Boosting(rounds=3, depth=3, stop_above=100)])
 def test_trees_do_not_depend_on_files_or_blocks_of_rows(plan, monkeypatch):
     x, label = made(3000)
     codes, weight = (x * 250).astype(np.uint8), ensembles.balanced(label, 3)
 
     def grown():
+        if isinstance(plan, Boosting):
+            return [t[k] for t in ensembles.boost(codes, label, weight, 3, plan, range(3), lambda t: t) for k in range(3)]
         return [ensembles.grow_forest_tree(codes, label, weight, 3, plan, np.random.default_rng(k)) for k in range(plan.trees)]
 
     once = grown()
